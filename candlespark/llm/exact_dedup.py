@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlespark.llm.staging import located, scratch, staged
+from candlespark.llm.staging import from_files, located, scratch, staged
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -31,16 +31,17 @@ def sha256(text: Column) -> Column:
 
 def best() -> Column:
     """The least of these stays: most code points, smallest identifier (null last), first place."""
-    return F.struct((-F.col("n_chars")).alias("less_chars"), F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("_file").alias("file"), F.col("_row").alias("row"))
+    return F.struct((-F.col("n_chars")).alias("less_chars"), F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("__doc_file").alias("file"), F.col("__doc_row").alias("row"))
 
 
-def stateful_keepers(spark: SparkSession, stream: DataFrame, max_batches: list[int] | None = None) -> DataFrame:
-    """Run a stream of (digest, doc_id, n_chars, _file, _row) to its end; per digest: keeper and n.
+def stateful_keepers(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    """Run a stream of (digest, doc_id, n_chars, __doc_file, __doc_row) to its end; per digest: keeper and n.
 
     Each micro-batch writes the keys it changed to a folder of its own, so that a
     batch that is run again replaces what it wrote.
     """
-    out, batches = scratch(spark, "dedup-updates"), max_batches if max_batches is not None else []
+    out = scratch(spark, "dedup-updates")
+    batches: list[int] = []
 
     def write(frame: DataFrame, batch: int) -> None:
         frame.write.mode("overwrite").parquet(f"{out}/batch={batch}")
@@ -52,14 +53,13 @@ def stateful_keepers(spark: SparkSession, stream: DataFrame, max_batches: list[i
     schema = changed.schema
     if not batches:
         return spark.createDataFrame([], schema)
-    states = spark.read.schema(schema).parquet(*[f"{out}/batch={b}" for b in batches])
-    if len(set(batches)) > 1:
-        numbered = [spark.read.schema(schema).parquet(f"{out}/batch={b}").withColumn("_batch", F.lit(b)) for b in sorted(set(batches))]
-        states = numbered[0]
-        for more in numbered[1:]:
-            states = states.unionByName(more)
+    numbered = [spark.read.schema(schema).parquet(f"{out}/batch={b}").withColumn("_batch", F.lit(b)) for b in sorted(set(batches))]
+    states = numbered[0]
+    for more in numbered[1:]:
+        states = states.unionByName(more)
+    if len(numbered) > 1:  # a key's last change is its state
         states = states.groupBy("digest").agg(F.max_by(F.struct("keeper", "n"), "_batch").alias("last")).select("digest", "last.*")
-    return states
+    return states.select("digest", "keeper", "n")
 
 
 def streaming_session(spark: SparkSession) -> SparkSession:
@@ -69,6 +69,8 @@ def streaming_session(spark: SparkSession) -> SparkSession:
         session.conf.set(key, spark.conf.get(key))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # a store reserves megabytes on disk otherwise, however little it holds
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     return session
 
 
@@ -80,7 +82,7 @@ def exact_dedup(
     digest: Callable[[Column], Column] = sha256,
     bytes_per_batch: int = 32 << 30,
 ) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, _file, _row.
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, __doc_file, __doc_row.
 
     Texts are equal when they are identical without ASCII white space. Of equal
     texts the one with the most code points stays, then the smallest identifier
@@ -97,22 +99,18 @@ def exact_dedup(
     """
     spark = docs.sparkSession
     source = located(docs if {id_col, text_col} == {"doc_id", "text"} else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    texts = source.select("doc_id", "_file", "_row", F.coalesce(F.char_length("text"), F.lit(0)).cast("bigint").alias("n_chars"), normalised(F.col("text")).alias("norm"))
-    rows = staged(texts.select("doc_id", "_file", "_row", "n_chars", digest(F.col("norm")).alias("digest"), F.sha2("norm", 256).alias("sha")), "dedup-digests")
-    session = streaming_session(spark)
-    path = rows.inputFiles()
-    stream = None
-    if path:
-        stream = session.readStream.schema(rows.schema).option("maxBytesPerTrigger", str(bytes_per_batch)).parquet(path[0].rpartition("/")[0])
-        states = stateful_keepers(session, stream)
-        # read by the caller's session from here on
-        states = spark.read.schema(states.schema).parquet(*states.inputFiles()) if states.inputFiles() else spark.createDataFrame([], states.schema)
+    texts = source.select("doc_id", "__doc_file", "__doc_row", F.coalesce(F.char_length("text"), F.lit(0)).cast("bigint").alias("n_chars"), normalised(F.col("text")).alias("norm"))
+    rows = staged(texts.select("doc_id", "__doc_file", "__doc_row", "n_chars", digest(F.col("norm")).alias("digest"), F.sha2("norm", 256).alias("sha")), "dedup-digests")
+    files = rows.inputFiles()
+    if files:
+        stream = streaming_session(spark).readStream.schema(rows.schema).option("maxBytesPerTrigger", str(bytes_per_batch)).parquet(files[0].rpartition("/")[0])
+        states = stateful_keepers(spark, stream)
     else:
-        return rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "_file", "_row")
+        states = spark.createDataFrame([], "digest binary, keeper struct<less_chars: bigint, no_id: boolean, doc_id: bigint, file: string, row: bigint>, n bigint")
     many = staged(states.filter("n > 1"), "dedup-hits")
     decided = rows.join(many, "digest", "left").select(*rows.columns, "keeper", "n")
     # the bytes of all texts under a digest are equal when the least and the greatest are
-    hits = staged(texts.withColumn("digest", digest(F.col("norm"))).join(many.select("digest"), "digest").select("digest", "norm"), "dedup-texts")
+    hits = staged(texts.withColumn("digest", digest(F.col("norm"))).join(many.select("digest").hint("merge"), "digest").select("digest", "norm"), "dedup-texts")
     clashes = staged(hits.groupBy("digest").agg(F.min("norm").alias("least"), F.max("norm").alias("most")).filter("least != most").select("digest"), "dedup-clashes")
     if not clashes.isEmpty():
         odd = staged(texts.withColumn("digest", digest(F.col("norm"))).join(clashes, "digest").withColumn("sha", F.sha2("norm", 256)), "dedup-odd")
@@ -124,15 +122,15 @@ def exact_dedup(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("keeper.doc_id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("bigint").alias("group_size"),
-        (alone | ((F.col("keeper.file") == F.col("_file")) & (F.col("keeper.row") == F.col("_row")))).alias("kept"),
+        (alone | ((F.col("keeper.file") == F.col("__doc_file")) & (F.col("keeper.row") == F.col("__doc_row")))).alias("kept"),
         F.col("sha").alias("text_sha256"),
-        "_file",
-        "_row",
+        "__doc_file",
+        "__doc_row",
     )
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    source = located(docs)
-    dropped = staged(exact_dedup(docs, id_col, text_col).filter("not kept").select("_file", "_row"), "dedup-dropped")
-    return source.join(dropped, ["_file", "_row"], "left_anti").select(*docs.columns)
+    docs = from_files(docs)
+    dropped = staged(exact_dedup(docs, id_col, text_col).filter("not kept").select("__doc_file", "__doc_row"), "dedup-dropped")
+    return located(docs).join(dropped, ["__doc_file", "__doc_row"], "left_anti").select(*docs.columns)

@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 
 from candlespark.llm import textkernel as K
 from candlespark.llm.components import connected_components
-from candlespark.llm.staging import located, staged
+from candlespark.llm.staging import from_files, located, staged
 
 #: A region that one task joins in memory: documents, and shingles in all.
 REGION_DOCS, REGION_SHINGLES = 2048, 4_000_000
@@ -35,7 +35,7 @@ BROADCAST_ROWS = 200_000
 #: Documents that are joined pair by pair, and pivots of a larger region.
 LEAF, PIVOTS = 192, 8
 
-PROFILE = "doc_id long, _file string, _row long, n_shingles long, ka long, kb long, keep0 int, sigs0 array<long>, keep1 int, sigs1 array<long>"
+PROFILE = "doc_id long, __doc_file string, __doc_row long, n_shingles long, ka long, kb long, keep0 int, sigs0 array<long>, keep1 int, sigs1 array<long>"
 
 
 @dataclass(frozen=True)
@@ -100,7 +100,7 @@ def set_keys(row: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
 
 
 def profiles(rule: Rule):
-    """Arrow batches of (doc_id, text, _file, _row) to PROFILE."""
+    """Arrow batches of (doc_id, text, __doc_file, __doc_row) to PROFILE."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,12 +115,12 @@ def profiles(rule: Rule):
                 low = np.searchsorted(bands[0], -(-sizes * rule.num // rule.den), side="right") - 1
                 low = np.where(low < top, low, -1)
                 ka, kb = set_keys(row, h, n)
-                columns = [batch.column("doc_id").slice(lo, n), batch.column("_file").slice(lo, n), batch.column("_row").slice(lo, n), pa.array(sizes), pa.array(ka), pa.array(kb)]
+                columns = [batch.column("doc_id").slice(lo, n), batch.column("__doc_file").slice(lo, n), batch.column("__doc_row").slice(lo, n), pa.array(sizes), pa.array(ka), pa.array(kb)]
                 for which in (top, low):
                     base, sigs = class_contents(row, h, sizes, which, bands)
                     columns.append(pa.array(np.where(which >= 0, bands[2][which] + 1, 0).astype(np.int32)))
                     columns.append(pa.ListArray.from_arrays(pa.array(base.astype(np.int32)), pa.array(sigs)))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "_file", "_row", "n_shingles", "ka", "kb", "keep0", "sigs0", "keep1", "sigs1"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "__doc_file", "__doc_row", "n_shingles", "ka", "kb", "keep0", "sigs0", "keep1", "sigs1"])
 
     return run
 
@@ -262,7 +262,7 @@ def candidate_stars(nodes: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept, _file, _row.
+    """One row per document: doc_id, n_shingles, component_id, kept, __doc_file, __doc_row.
 
     component_id is the smallest identifier reachable by links of at least the
     rule's similarity; in each component one document is kept, the first with
@@ -274,9 +274,9 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     """
     spark = docs.sparkSession
     source = located(docs if {id_col, text_col} == {"doc_id", "text"} else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    source = source.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "_file", "_row")
+    source = source.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "__doc_file", "__doc_row")
     seen = staged(source.mapInArrow(profiles(rule), PROFILE), "jaccard-profiles")
-    place = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("_file").alias("file"), F.col("_row").alias("row"))).alias("first")
+    place = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("__doc_file").alias("file"), F.col("__doc_row").alias("row"))).alias("first")
     grouped = seen.filter("n_shingles > 0").groupBy("ka", "kb", "n_shingles").agg(place, *[F.first(c).alias(c) for c in ("keep0", "sigs0", "keep1", "sigs1")])
     nodes = staged(grouped.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
     regions = connected_components(candidate_stars(nodes)).withColumnRenamed("root", "region")
@@ -295,8 +295,8 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
         parts = sized.select("node", "file", "row", F.col("region").cast("string").alias("region"))
     few = sized.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     wanted = parts.groupBy("file", "row", "node").agg(F.collect_set("region").alias("regions")) if split else parts.select("file", "row", "node", F.array("region").alias("regions"))
-    wanted = wanted.withColumnsRenamed({"file": "_file", "row": "_row"})
-    texts = source.select("text", "_file", "_row").join(F.broadcast(wanted) if few else wanted, ["_file", "_row"])
+    wanted = wanted.withColumnsRenamed({"file": "__doc_file", "row": "__doc_row"})
+    texts = source.select("text", "__doc_file", "__doc_row").join(F.broadcast(wanted) if few else wanted, ["__doc_file", "__doc_row"])
     sets = texts.select(F.explode("regions").alias("region"), "node", "text").mapInArrow(sets_of(rule), "region string, node long, shingles binary")
     stars = staged(sets.groupBy("region").applyInArrow(joined_region(rule), "a long, b long"), "jaccard-links")
     roots = connected_components(stars) if split else stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -306,17 +306,18 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     chosen = named.groupBy("root").agg(F.min("first").alias("first"))
     of = named.select("ka", "kb", "n_shingles", "root").join(chosen, "root").drop("root")
     alone = F.col("first").isNull()
-    return seen.select("doc_id", "_file", "_row", "n_shingles", "ka", "kb").join(of, ["ka", "kb", "n_shingles"], "left").select(
+    return seen.select("doc_id", "__doc_file", "__doc_row", "n_shingles", "ka", "kb").join(of, ["ka", "kb", "n_shingles"], "left").select(
         "doc_id",
         "n_shingles",
         F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
-        (alone | ((F.col("first.file") == F.col("_file")) & (F.col("first.row") == F.col("_row")))).alias("kept"),
-        "_file",
-        "_row",
+        (alone | ((F.col("first.file") == F.col("__doc_file")) & (F.col("first.row") == F.col("__doc_row")))).alias("kept"),
+        "__doc_file",
+        "__doc_row",
     )
 
 
 def kept_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The documents that stay, one of each component, with all their columns."""
-    dropped = staged(jaccard_components(docs, rule).filter("not kept").select("_file", "_row"), "jaccard-dropped")
-    return located(docs).join(dropped, ["_file", "_row"], "left_anti").select(*docs.columns)
+    docs = from_files(docs)
+    dropped = staged(jaccard_components(docs, rule).filter("not kept").select("__doc_file", "__doc_row"), "jaccard-dropped")
+    return located(docs).join(dropped, ["__doc_file", "__doc_row"], "left_anti").select(*docs.columns)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlespark.llm.running import buckets_for, hex_bucket, with_running_total
-from candlespark.llm.staging import located, staged
+from candlespark.llm.staging import from_files, located, staged
 
 #: Ranges of virtual finish time: so many to one unit, the last open-ended.
 RANGES, LAST_RANGE = 4096, 4096 * 16
@@ -54,7 +54,7 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, copies, _file, _row.
+    """One row per document: doc_id, size, source_size, target, taken, copies, __doc_file, __doc_row.
 
     The size of a document is its words (null: 0). It is taken whole, ``copies``
     times, from 0 to ``repeats``; ``taken`` are its words times that. The order
@@ -68,15 +68,15 @@ def mix_sources(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        "_file",
-        "_row",
+        "__doc_file",
+        "__doc_row",
     )
     key = F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("size").cast("string")))
     sized = staged(sized.withColumn("key", key), "mix-sizes")
     targets = staged(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, repeats), "mix-targets")
     n_buckets = buckets_for(sized.count())
     known = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select(sized["*"], "rank", "source_size", "target").withColumn("bucket", hex_bucket(F.col("key"), n_buckets))
-    order = [F.col(c) for c in ("key", "doc_id", "size", "_file", "_row")]
+    order = [F.col(c) for c in ("key", "doc_id", "size", "__doc_file", "__doc_row")]
     queued = staged(with_running_total(known, "rank", "bucket", order, "size", "upto"), "mix-queue")
 
     def finish(copy: int):
@@ -102,15 +102,16 @@ def mix_sources(
         else:
             taken = [(finish(c) < F.lit(end["finish"])) | ((finish(c) == F.lit(end["finish"])) & (F.col("rank") <= F.lit(end["rank"]))) for c in range(repeats)]
         copies = F.when(F.col("size") > 0, sum((t.cast("int") for t in taken), F.lit(0))).otherwise(0)
-    return queued.select("doc_id", "size", "source_size", "target", copies.cast("bigint").alias("copies"), "_file", "_row").select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "_file", "_row"
+    return queued.select("doc_id", "size", "source_size", "target", copies.cast("bigint").alias("copies"), "__doc_file", "__doc_row").select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "__doc_file", "__doc_row"
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as many times as it is taken, with all its columns."""
-    chosen = mix_sources(docs, **options).filter("copies > 0").select("_file", "_row", F.col("copies").alias("_copies"))
-    repeated = located(docs).join(staged(chosen, "mix-chosen"), ["_file", "_row"])
+    docs = from_files(docs)
+    chosen = mix_sources(docs, **options).filter("copies > 0").select("__doc_file", "__doc_row", F.col("copies").alias("_copies"))
+    repeated = located(docs).join(staged(chosen, "mix-chosen"), ["__doc_file", "__doc_row"])
     return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*docs.columns)
 
 

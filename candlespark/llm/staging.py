@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_FOLDER = "/tmp/checkpoints"
@@ -47,22 +48,20 @@ def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def located(df: DataFrame) -> DataFrame:
-    """df with ``_file`` and ``_row``, which name a row's place in the files it is read from.
-
-    A frame that isn't a plain read of Parquet files is written first.
-    """
+def _with_place(df: DataFrame) -> DataFrame:
+    meta = df.metadataColumn("_metadata")
+    return df.select("*", meta["file_path"].alias("__doc_file"), meta["row_index"].alias("__doc_row"))
 
-    def with_place(frame: DataFrame) -> DataFrame:
-        meta = frame.metadataColumn("_metadata")
-        return frame.select("*", meta["file_path"].alias("_file"), meta["row_index"].alias("_row"))
 
-    df = df.drop("_file", "_row")
+def from_files(df: DataFrame) -> DataFrame:
+    """df itself if it is a plain read of Parquet files, else written to such files and read again."""
     try:
-        found = with_place(df)
-        found.schema  # noqa: B018  resolves the columns
-    except Exception as error:
-        if "_metadata" not in str(error) and "row_index" not in str(error):
-            raise
-        found = with_place(staged(df, "located"))
-    return found
+        _with_place(df).schema  # noqa: B018  resolves the columns
+    except AnalysisException:
+        return staged(df, "documents")
+    return df
+
+
+def located(df: DataFrame) -> DataFrame:
+    """df, read from files, with ``__doc_file`` and ``__doc_row``, which name a row's place in them."""
+    return _with_place(from_files(df))

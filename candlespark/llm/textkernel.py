@@ -25,7 +25,7 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[np.ndarray] = []
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -37,26 +37,36 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(1 << (n - 1).bit_length(), SLICE_BYTES) if n else SLICE_BYTES
-    if size not in _powers:
-        _powers.clear()
-        made = []
+def _power_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, for the positions of one slice."""
+    if not _powers:
         for base in (_BASE, _BASE_INVERSE):
-            steps = np.full(size + 1, base, dtype=np.uint64)
+            steps = np.full(SLICE_BYTES + 1, base, dtype=np.uint64)
             steps[0] = 1
-            made.append(np.multiply.accumulate(steps))
-        _powers[size] = (made[0], made[1])
-    return _powers[size]
+            _powers.append(np.multiply.accumulate(steps))
+    return _powers[0], _powers[1]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for each span; equal bytes, equal hash."""
-    n = len(data)
-    up, down = _power_tables(n)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    raw = (sums[ends] - sums[starts]) * down[starts]
+    """A 64-bit hash of data[start:end] for each span; equal bytes, equal hash.
+
+    Starts and ends ascend. Prefix sums are taken a slice at a time, so a very
+    long text takes no more memory than a slice.
+    """
+    up, down = _power_tables()
+    at_start, at_end = np.zeros(len(starts), dtype=np.uint64), np.zeros(len(ends), dtype=np.uint64)
+    carry = np.zeros(1, dtype=np.uint64)
+    for k, lo in enumerate(range(0, len(data) + 1, SLICE_BYTES)):
+        part = data[lo : lo + SLICE_BYTES]
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=sums[1:])
+        sums = sums * np.uint64(pow(_BASE, k * SLICE_BYTES, 1 << 64)) + carry
+        for positions, values in ((starts, at_start), (ends, at_end)):
+            i, j = np.searchsorted(positions, [lo, lo + SLICE_BYTES])
+            values[i:j] = sums[positions[i:j] - lo]
+        carry = sums[-1:]
+    whole = np.array([pow(_BASE_INVERSE, k * SLICE_BYTES, 1 << 64) for k in range(len(data) // SLICE_BYTES + 1)], dtype=np.uint64)
+    raw = (at_end - at_start) * down[starts % SLICE_BYTES] * whole[starts // SLICE_BYTES]
     return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -111,14 +121,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     start = np.flatnonzero(inside & (~before | cut[:n]))
     end = np.flatnonzero(inside & (~after | cut[1:])) + 1
     row = np.searchsorted(offsets, start, side="right") - 1
-    hashes = np.empty(len(start), dtype=np.uint64)
-    at = 0
-    while at < len(start):  # some megabytes at a time, cut between words
-        to = max(int(np.searchsorted(end, start[at] + SLICE_BYTES, side="right")), at + 1)
-        lo, hi = start[at], end[to - 1]
-        hashes[at:to] = span_hashes(data[lo:hi], start[at:to] - lo, end[at:to] - lo)
-        at = to
-    return Words(row, start, end, hashes)
+    return Words(row, start, end, span_hashes(data, start, end))
 
 
 def shingles(w: Words, n_rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
