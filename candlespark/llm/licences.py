@@ -79,8 +79,8 @@ RULES = [
 
 #: Each known sentence has one of these words, so a text without them has none of the sentences.
 TRIGGER = r"(?i)licens|software|copyright|redistribut|warrant"
-#: Sentences end at these marks before white space, or at the text's end; lines are also tried one by one.
-SENTENCE_END, LINE_END = r"[.!?:;]+(?:[ \t\r\n]+|\z)", r"[.!?:;]+(?:[ \t\r\n]+|\z)|[\r\n]+"
+#: Sentences end at these marks before white space, at the text's end and at blank lines; lines are also tried one by one.
+SENTENCE_END, LINE_END = r"[.!?:;]+(?:[ \t\r\n]+|\z)|\n[ \t\r]*\n", r"[.!?:;]+(?:[ \t\r\n]+|\z)|[\r\n]+"
 NO_WORD = "[^a-z0-9]+"
 
 
