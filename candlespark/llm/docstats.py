@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -116,21 +116,25 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndar
     return counts, features
 
 
-def statistics_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of (doc_id, text) to SCHEMA."""
-    for batch in batches:
-        data, offsets = K.string_parts(batch.column("text"))
-        for lo, hi in K.slices(offsets):
-            counts, features = statistics(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, features.size + 1, len(FEATURES), dtype=np.int32)), pa.array(features.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(lo, hi - lo), *[pa.array(counts[c].astype(np.int64)) for c in COUNTS], lists], names=["doc_id", *COUNTS, "features"]
-            )
+def statistics_batches(keep: Sequence[str] = ()):
+    """Arrow batches of (doc_id, text, ...) to SCHEMA and the columns to keep."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = K.string_parts(batch.column("text"))
+            for lo, hi in K.slices(offsets):
+                counts, features = statistics(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, features.size + 1, len(FEATURES), dtype=np.int32)), pa.array(features.ravel()))
+                columns = [batch.column("doc_id").slice(lo, hi - lo), *[pa.array(counts[c].astype(np.int64)) for c in COUNTS], lists]
+                yield pa.RecordBatch.from_arrays([*columns, *[batch.column(c).slice(lo, hi - lo) for c in keep]], names=["doc_id", *COUNTS, "features", *keep])
 
-def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """SCHEMA for every document; a null text is an empty one, other columns are ignored."""
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(statistics_batches, SCHEMA)
+    return run
+
+
+def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """SCHEMA for every document, and the columns to keep; a null text is an empty one, other columns are ignored."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *keep)
+    return rows.mapInArrow(statistics_batches(keep), SCHEMA + "".join(f", {c} {dict(docs.dtypes)[c]}" for c in keep))
 
 
 def matrix(column: pa.Array) -> np.ndarray:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -113,14 +113,14 @@ def fit(rows: DataFrame, waves: int = 256, width: float = 1.0, ridge: float = 1e
     return model
 
 
-def scored(model: Model | None):
-    """Arrow batches of (doc_id, features, ...) with a score for each; 0.5 without a model."""
+def scored(model: Model | None, keep: Sequence[str]):
+    """Arrow batches of features and the columns to keep, with a score for each; 0.5 without a model."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = matrix(batch.column("features"))
             score = model.score(x) if model else np.full(len(x), 0.5)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score)], names=["doc_id", "held_out", "score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(score)], names=[*keep, "score"])
 
     return run
 
@@ -141,20 +141,19 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, train_rows: int = 200_
     """
     stats = staged(document_statistics(docs, id_col, text_col).select("doc_id", "features", held_out(F.col("doc_id")).alias("held_out")), "classifier-statistics")
     model = fit(bounded(labelled(stats.filter("not held_out"), labels), train_rows), waves)
-    found = stats.mapInArrow(scored(model), "doc_id long, held_out boolean, score double")
+    found = stats.mapInArrow(scored(model, ["doc_id", "held_out"]), "doc_id long, held_out boolean, score double")
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def accepted_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def accepted_documents(docs: DataFrame, labels: DataFrame, *, train_rows: int = 200_000, waves: int = 256) -> DataFrame:
     """The documents with a score of 0.5 or more, with all their columns.
 
-    Documents are scored under a number of their own, so that identifiers may be
-    null or repeated.
+    Learns and scores as quality_scores does; what is rejected is told by its
+    place in the files, so that identifiers may be null or repeated.
     """
-    docs = from_files(docs)
-    numbered = located(docs).withColumn("_number", F.xxhash64("__doc_file", "__doc_row"))
-    stats = document_statistics(numbered.select(F.col("_number").alias("doc_id"), "text"))
-    model = fit(bounded(labelled(staged(document_statistics(docs).filter(~held_out(F.col("doc_id"))), "classifier-train"), labels), options.get("train_rows", 200_000)), options.get("waves", 256))
-    scores = stats.withColumn("held_out", F.lit(False)).mapInArrow(scored(model), "doc_id long, held_out boolean, score double")
-    rejected = staged(scores.filter("score < 0.5").select(F.col("doc_id").alias("_number")).distinct(), "classifier-rejected")
-    return numbered.join(rejected, "_number", "left_anti").select(*docs.columns)
+    docs, place = from_files(docs), ["__doc_file", "__doc_row"]
+    stats = staged(document_statistics(located(docs), keep=place).select("doc_id", "features", *place), "classifier-statistics")
+    model = fit(bounded(labelled(stats.filter(~held_out(F.col("doc_id"))), labels), train_rows), waves)
+    scores = stats.mapInArrow(scored(model, place), "__doc_file string, __doc_row long, score double")
+    rejected = staged(scores.filter("score < 0.5").select(*place), "classifier-rejected")
+    return located(docs).join(rejected, place, "left_anti").select(*docs.columns)
