@@ -57,7 +57,7 @@ def main(args: list[str] | None = None) -> int:
         channels.frames(rows).select("frame").show(truncate=False)
     elif given.verb in ("repair", "backfill"):
         pages = spark.read.text(given.klines).withColumnRenamed("value", "raw")
-        source = lambda symbol, start, end: decoders.binance_klines(pages, symbol, start, end)
+        source = lambda symbol, ranges: decoders.binance_klines(pages, symbol, ranges)
         if given.verb == "repair":
             candles, found = jobs.repair(store.candles(), store.watermarks(), source, given.symbol, settings.repair_lookback_ms, now)
             found.show()

@@ -63,20 +63,24 @@ def candles(trades: DataFrame, timeframes: Sequence[str] = tuple(TIMEFRAMES)) ->
     return merged.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in COLUMNS])
 
 
-def rollup(minutes: DataFrame, tf: str, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
-    """Closed candles of ``tf`` from 1m candles, closed or not.
+def rollup(minutes: DataFrame, timeframes: str | Sequence[str], start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
+    """Closed candles of one timeframe or several from 1m candles, closed or not.
 
-    Both bounds are rounded down to the timeframe, so whole buckets come out and
-    the first one reaches back to its start.
+    Both bounds are rounded down to each timeframe, so whole buckets come out and
+    the first one reaches back to its start. One pass serves all timeframes.
     """
-    width = TIMEFRAMES[tf]
+    wanted = [timeframes] if isinstance(timeframes, str) else list(timeframes)
     rows = minutes.filter(F.col("tf") == BASE_TIMEFRAME)
     if start_ms is not None:
-        rows = rows.filter(F.col("time") >= start_ms - start_ms % width)
+        rows = rows.filter(F.col("time") >= min(start_ms - start_ms % TIMEFRAMES[tf] for tf in wanted))
     if end_ms is not None:
-        rows = rows.filter(F.col("time") < end_ms - end_ms % width)
-    rows = rows.withColumn("_bucket", floor_ms(F.col("time"), width))
-    grouped = rows.groupBy("symbol", "_bucket").agg(
+        rows = rows.filter(F.col("time") < max(end_ms - end_ms % TIMEFRAMES[tf] for tf in wanted))
+    rows = rows.withColumn("tf", F.explode(F.array(*[F.lit(tf) for tf in wanted]))).withColumn("_width", width_of(F.col("tf")))
+    if start_ms is not None:
+        rows = rows.filter(F.col("time") >= floor_ms(F.lit(start_ms), F.col("_width")))
+    if end_ms is not None:
+        rows = rows.filter(F.col("time") < floor_ms(F.lit(end_ms), F.col("_width")))
+    grouped = rows.withColumn("_bucket", floor_ms(F.col("time"), F.col("_width"))).groupBy("symbol", "tf", "_bucket").agg(
         F.min_by("open", "time").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
@@ -85,4 +89,4 @@ def rollup(minutes: DataFrame, tf: str, start_ms: int | None = None, end_ms: int
         F.sum("quote_volume").cast(QUOTE_VOLUME).alias("quote_volume"),
         F.sum("trades").alias("trades"),
     )
-    return grouped.withColumnRenamed("_bucket", "time").withColumn("tf", F.lit(tf)).withColumn("closed", F.lit(True)).select(*COLUMNS, "closed")
+    return grouped.withColumnRenamed("_bucket", "time").withColumn("closed", F.lit(True)).select(*COLUMNS, "closed")

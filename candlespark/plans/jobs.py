@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +13,8 @@ from candlespark.operators.validate import admitted, dead_letters, gate
 from candlespark.operators.dedup import keep_first
 from candlespark.schemas import CANDLE, LATE, TIMEFRAMES
 
-#: A venue's history: (symbol, start_ms, end_ms) to 1m candles of the half-open range.
-KlineSource = Callable[[str, int, int], DataFrame]
+#: A venue's history: (symbol, half-open ranges of ms, one request each) to 1m candles.
+KlineSource = Callable[[str, list[tuple[int, int]]], DataFrame]
 HIGHER = [tf for tf in TIMEFRAMES if tf != "1m"]
 
 
@@ -54,16 +53,15 @@ def settled(marks: DataFrame, symbol: str, now_ms: int) -> int:
     return row.select(settled_before(F.col("watermark"), F.lit(now_ms)).alias("at")).first()["at"]
 
 
-def with_rollups(candles: DataFrame, fetched: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
+def with_rollups(candles: DataFrame, fetched: DataFrame, symbol: str, start_ms: int, end_ms: int) -> DataFrame:
     """``candles`` with fetched minutes and the timeframes above rolled up anew.
 
     Rollups cover the buckets that [start, end) touches at its left and completes
     at its right, and replace what is there.
     """
     filled = merge.guarded_upsert(candles, fetched.withColumn("seq", F.lit(0).cast("bigint")))
-    own = filled.filter(F.col("tf") == "1m").join(fetched.select("symbol").distinct(), "symbol", "left_semi")
-    rolled = [ohlcv.rollup(own, tf, start_ms, end_ms).select(*filled.columns) for tf in HIGHER]
-    return merge.overwrite(filled, reduce(DataFrame.unionByName, rolled))
+    rolled = ohlcv.rollup(filled.filter(F.col("symbol") == symbol), HIGHER, start_ms, end_ms)
+    return merge.overwrite(filled, rolled)
 
 
 def backfill(candles: DataFrame, marks: DataFrame, source: KlineSource, symbol: str, start_ms: int, end_ms: int, now_ms: int) -> DataFrame:
@@ -72,14 +70,7 @@ def backfill(candles: DataFrame, marks: DataFrame, source: KlineSource, symbol:
     end_ms = min(end_ms - end_ms % TIMEFRAMES["1m"], settled(marks, symbol, now_ms))
     if start_ms >= end_ms:
         return candles
-    return with_rollups(candles, source(symbol, start_ms, end_ms).select(*candles.columns), start_ms, end_ms)
-
-
-def repair_runs(candles: DataFrame, marks: DataFrame, symbol: str, lookback_ms: int, now_ms: int) -> tuple[DataFrame, int]:
-    """(runs of missing minutes, settled end) of a symbol."""
-    end_ms = settled(marks, symbol, now_ms)
-    lost = gaps.missing(candles.filter(F.col("symbol") == symbol), end_ms - lookback_ms, end_ms)
-    return gaps.runs(lost), end_ms
+    return with_rollups(candles, source(symbol, [(start_ms, end_ms)]).select(*candles.columns), symbol, start_ms, end_ms)
 
 
 def repair(candles: DataFrame, marks: DataFrame, source: KlineSource, symbol: str, lookback_ms: int, now_ms: int) -> tuple[DataFrame, DataFrame]:
@@ -88,10 +79,10 @@ def repair(candles: DataFrame, marks: DataFrame, source: KlineSource, symbol: st
     Each run is one request to the venue; there are as many as outages, so their
     list is small.
     """
-    found, end_ms = repair_runs(candles, marks, symbol, lookback_ms, now_ms)
+    end_ms = settled(marks, symbol, now_ms)
     lost = gaps.missing(candles.filter(F.col("symbol") == symbol), end_ms - lookback_ms, end_ms)
-    requests = [(r["start"], r["end"]) for r in found.orderBy("start").toLocalIterator()]
+    requests = sorted((r["start"], r["end"]) for r in gaps.runs(lost).collect())
     if not requests:
         return candles, gaps.coverage(lost, candles.limit(0))
-    fetched = reduce(DataFrame.unionByName, [source(symbol, *r) for r in requests]).select(*candles.columns)
-    return with_rollups(candles, fetched, requests[0][0], end_ms), gaps.coverage(lost, fetched)
+    fetched = source(symbol, requests).select(*candles.columns)
+    return with_rollups(candles, fetched, symbol, requests[0][0], end_ms), gaps.coverage(lost, fetched)

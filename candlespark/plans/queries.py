@@ -307,8 +307,9 @@ VENUE_SQL = "CAST(10 + (time // 60000) % 60 AS DECIMAL(18,8))"
 
 
 def _venue(spark: SparkSession) -> jobs.KlineSource:
-    def klines(symbol: str, start: int, end: int) -> DataFrame:
-        minutes = spark.range(start, end, 60_000).withColumnRenamed("id", "time")
+    def klines(symbol: str, ranges: list[tuple[int, int]]) -> DataFrame:
+        asked = spark.createDataFrame(ranges, "start bigint, end bigint")
+        minutes = asked.select(F.explode(F.sequence("start", F.col("end") - 60_000, F.lit(60_000).cast("bigint"))).alias("time"))
         price = (F.lit(10) + F.pmod(F.floor(F.col("time") / 60_000), F.lit(60))).cast("decimal(18,8)")
         return minutes.select(F.lit(symbol).alias("symbol"), F.lit("1m").alias("tf"), "time", *[price.alias(c) for c in ("open", "high", "low", "close")], F.lit(2).cast("decimal(28,8)").alias("volume"), (price * 2).cast("decimal(38,16)").alias("quote_volume"), F.lit(3).cast("bigint").alias("trades"), F.lit(True).alias("closed"))
 
