@@ -48,4 +48,4 @@ def within_last(trades: DataFrame, admitted: int, order: Sequence[str] = ("arriv
                     seen.popitem(last=False)
         return frame[passed][columns]
 
-    return trades.groupBy(F.lit(1)).applyInPandas(run, trades.schema)
+    return trades.groupBy().applyInPandas(run, trades.schema)

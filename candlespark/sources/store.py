@@ -86,7 +86,7 @@ class Store:
         path = self._pointer()["tables"].get(name)
         if path is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.option("mergeSchema", "false").parquet(f"{self.root}/{path}").select(*schema.fieldNames())
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{path}").select(*schema.fieldNames())
 
     def candles(self) -> DataFrame:
         return self.read("candles", CANDLE)
