@@ -81,18 +81,18 @@ class Code:
             raise ValueError("an id without a code")
         ends = np.cumsum(lengths)
         begins = ends - lengths
-        out = np.zeros((int(ends[-1]) if len(ids) else 0) // 8 + 1, dtype=np.uint8)
+        n_bits = int(ends[-1]) if len(ids) else 0
+        out = np.zeros(n_bits // 32 + 2, dtype=np.uint64)  # 32 bits each
         for lo in range(0, len(ids), _STEP):
             part = slice(lo, lo + _STEP)
-            n, total = lengths[part], int(lengths[part].sum())
-            owner = np.repeat(np.arange(len(n)), n)
-            place = np.arange(total) - np.repeat(begins[part] - begins[lo], n)
-            bit = (self.words[ids[part]][owner] >> (n[owner] - 1 - place).astype(np.uint64)) & np.uint64(1)
-            lead = int(begins[lo]) % 8
-            packed = np.packbits(np.concatenate([np.zeros(lead, dtype=np.uint8), bit.astype(np.uint8)]))
-            at = int(begins[lo]) // 8
-            out[at : at + len(packed)] |= packed
-        return out[: (int(ends[-1]) + 7) // 8 if len(ids) else 0].tobytes(), begins[::CHECKPOINT].astype(np.uint64)
+            at = begins[part]
+            # a code lies in one or two words: put it at its place in both, codes of a word add up
+            both = self.words[ids[part]] << (64 - lengths[part] - (at & 31)).astype(np.uint64)
+            word = at >> 5
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            out[word[first]] += np.add.reduceat(both >> np.uint64(32), first)
+            out[word[first] + 1] += np.add.reduceat(both & np.uint64(0xFFFFFFFF), first)
+        return out.astype(">u4").tobytes()[: (n_bits + 7) // 8], begins[::CHECKPOINT].astype(np.uint64)
 
     def decode(self, payload: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
         """The n ids of a payload."""
