@@ -6,7 +6,9 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,7 @@ from candlespark.llm.staging import scratch, staged
 #: Ids of a block, about; memory of encoding and decoding follows it.
 BLOCK_IDS = 1 << 18
 #: Pieces of text whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 900_000
 #: Bytes of coded ids in a file, about.
 FILE_BYTES = 64 << 20
 
@@ -30,6 +32,8 @@ READ = "path string, doc_id long, at long, n_tokens long, ids_crc32 long"
 
 # where a piece between single spaces doesn't stand for itself: a longer run of white space
 _LONG_RUN = re.compile(r"\s (?:\s|\Z)")
+#: Marks that, behind letters, are one piece of their own however many they are.
+_MARKS = ".,;:!?#$%&*|"
 
 
 def id_type(largest: int) -> str:
@@ -37,84 +41,102 @@ def id_type(largest: int) -> str:
     return "<u2" if largest < 1 << 16 else "<u4"
 
 
+class Pieces(dict):
+    """Ids of pieces of text by piece, each with ``before`` in front; what is missing is encoded.
+
+    Letters and the marks behind them are single pieces to the tokenizer's
+    splitting, so they go straight to its model; everything else goes through
+    the tokenizer.
+    """
+
+    def __init__(self, encoder: Encoder, before: str) -> None:
+        super().__init__()
+        self.encoder, self.before = encoder, before
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        encoder, before = self.encoder, self.before
+        word = piece.rstrip(_MARKS)
+        if word.isalpha():
+            ids = encoder.model(before + word)
+            if len(word) < len(piece):
+                ids += encoder.marks(piece[len(word) :])
+        elif "\n" in piece and all(lines := piece.split("\n")) and not any(c.isspace() for line in lines for c in line):
+            first, *more = lines
+            ids = self[first] + b"".join([encoder.newline + encoder.bare[line] for line in more])
+        else:
+            ids = encoder.whole([before + piece])[0]
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Ids of texts by a tokenizer file, remembering those of pieces between spaces.
 
-    A byte-level tokenizer with this splitting pattern cuts before a single
-    space, so a text's ids are those of its pieces, each with its space. Texts
-    where a run of white space could cross such a cut, and those that hold a
-    special token, are encoded whole.
+    A byte-level tokenizer with its usual splitting cuts before a single space,
+    so a text's ids are those of its pieces, each with its space. Texts where a
+    run of white space could cross such a cut, those that hold a special token,
+    and all texts of other kinds of tokenizers are encoded whole.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        largest = max(max(vocabulary.values(), default=0), end_id)
-        self.dtype = id_type(largest)
+        self.dtype = id_type(max(self.tokenizer.get_vocab_size() - 1, end_id))
+        self.tokenize, self.code = self.tokenizer.model.tokenize, {"<u2": "H", "<u4": "I"}[self.dtype]
         self.end = np.array([end_id], dtype=self.dtype).tobytes()
-        # a byte-level vocabulary writes each byte as one character
-        self.n_bytes = np.zeros(largest + 1, dtype=np.int64)
-        for token, number in vocabulary.items():
-            self.n_bytes[number] = len(token)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        splits = self.tokenizer.pre_tokenizer
+        self.by_piece = isinstance(splits, pre_tokenizers.ByteLevel) and splits.use_regex and not splits.add_prefix_space and self.tokenizer.normalizer is None
+        if self.by_piece:
+            # how a byte-level vocabulary writes each byte
+            shown = sorted(set(range(33, 127)) | set(range(161, 173)) | set(range(174, 256)))
+            others = iter(range(256, 512))
+            self.shown = {b: chr(b) if b in shown else chr(next(others)) for b in range(256)}
+            self.spaced, self.bare, self.mark_ids = Pieces(self, " "), Pieces(self, ""), {}
+            self.newline = self.model("\n")
+
+    def model(self, piece: str) -> bytes:
+        """Ids of one piece, by the tokenizer's model alone."""
+        return array(self.code, [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(self.shown))]).tobytes()
+
+    def marks(self, piece: str) -> bytes:
+        if piece not in self.mark_ids:
+            if len(self.mark_ids) > 10_000:
+                self.mark_ids.clear()
+            self.mark_ids[piece] = self.model(piece)
+        return self.mark_ids[piece]
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def plain(self, text: str) -> bool:
-        return not _LONG_RUN.search(text) and not any(s in text for s in self.special)
-
-    def learn(self, pieces: set[str]) -> None:
-        """Encode pieces that begin with a space, many in one text, and remember them."""
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(pieces)
-        simple = [p for p in new if len(p) > 1 and not p[1:2].isspace() and not p[-1:].isspace()]
-        for lo in range(0, len(simple), 2000):
-            part = simple[lo : lo + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype=self.dtype)
-            # a piece's first id is the one whose bytes begin at the piece's space
-            begins = np.cumsum([0] + [len(p.encode()) for p in part])
-            ends = np.cumsum(self.n_bytes[ids])
-            cuts = np.searchsorted(ends - self.n_bytes[ids], begins)
-            if ends[-1] != begins[-1] or (ends[cuts[1:] - 1] != begins[1:]).any():
-                self.known.update(zip(part, self.whole(part), strict=True))
-                continue
-            for piece, a, b in zip(part, cuts, cuts[1:], strict=False):
-                self.known[piece] = ids[a:b].tobytes()
-        rest = [p for p in new if p not in self.known]
-        self.known.update(zip(rest, self.whole(rest), strict=True))
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text with the end id, as little-endian numbers."""
-        split: list[list[str] | None] = []
+        out = []
         for text in texts:
-            if self.plain(text):
-                first, *more = text.split(" ")
-                split.append([first, *[" " + p for p in more]])
+            if not self.by_piece or _LONG_RUN.search(text) or any(s in text for s in self.special):
+                ids = self.whole([text])[0]
             else:
-                split.append(None)
-        pieces: set[str] = set()
-        for parts in split:
-            if parts:
-                pieces.update(parts)
-        pieces.discard("")
-        self.learn(pieces)
-        get, end = self.known.__getitem__, self.end
-        odd = iter(self.whole([t for t, parts in zip(texts, split, strict=True) if parts is None]))
-        return [(next(odd) if parts is None else b"".join(map(get, parts if parts[0] else parts[1:]))) + end for parts in split]
+                first, *more = text.split(" ")
+                ids = (self.bare[first] if first else b"") + b"".join(map(self.spaced.__getitem__, more))
+            out.append(ids + self.end)
+        return out
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str, end_id: int) -> Encoder:
+    """The worker's encoder, which keeps what it remembers from task to task."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Encoder(path, end_id)
 
 
 def tokenised(path: str, end_id: int):
     """Arrow batches of (doc_id, text) to TOKENS."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(path, end_id)
+        encoder = encoder_of(path, end_id)
         width = np.dtype(encoder.dtype).itemsize
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
