@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 
 from candlespark.llm import textkernel as K
 from candlespark.llm.components import connected_components
-from candlespark.llm.staging import from_files, located, staged
+from candlespark.llm.staging import from_files, located, release, staged
 
 #: A region that one task joins in memory: documents, and shingles in all.
 REGION_DOCS, REGION_SHINGLES = 2048, 4_000_000
@@ -35,7 +35,7 @@ BROADCAST_ROWS = 200_000
 #: Documents that are joined pair by pair, and pivots of a larger region.
 LEAF, PIVOTS = 192, 8
 
-PROFILE = "doc_id long, __doc_file string, __doc_row long, n_shingles long, ka long, kb long, keep0 int, sigs0 array<long>, keep1 int, sigs1 array<long>"
+PROFILE = "doc_id long, __doc_file string, __doc_row long, n_shingles long, ka long, kb long, keep0 int, m0 int, sigs0 array<long>, keep1 int, m1 int, sigs1 array<long>"
 
 
 @dataclass(frozen=True)
@@ -119,8 +119,9 @@ def profiles(rule: Rule):
                 for which in (top, low):
                     base, sigs = class_contents(row, h, sizes, which, bands)
                     columns.append(pa.array(np.where(which >= 0, bands[2][which] + 1, 0).astype(np.int32)))
+                    columns.append(pa.array(np.diff(base).astype(np.int32)))
                     columns.append(pa.ListArray.from_arrays(pa.array(base.astype(np.int32)), pa.array(sigs)))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "__doc_file", "__doc_row", "n_shingles", "ka", "kb", "keep0", "sigs0", "keep1", "sigs1"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "__doc_file", "__doc_row", "n_shingles", "ka", "kb", "keep0", "m0", "sigs0", "keep1", "m1", "sigs1"])
 
     return run
 
@@ -246,17 +247,24 @@ def joined_region(rule: Rule):
     return run
 
 
-def candidate_stars(nodes: DataFrame) -> DataFrame:
-    """(a, b): in each region of class contents, its least node and every other one."""
-    cells = None
-    for k in ("0", "1"):
-        part = nodes.select("node", F.lit(int(k)).alias("band"), F.col(f"keep{k}").alias("keep"), F.size(f"sigs{k}").alias("m"), F.explode(f"sigs{k}").alias("sig"))
-        cells = part if cells is None else cells.unionByName(part)
-    often = cells.groupBy("sig").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+def candidate_stars(seen: DataFrame, copies: DataFrame) -> DataFrame:
+    """(a, b): in each region of class contents, its least node and every other one.
+
+    ``copies`` are the nodes of sets that another node stands for. A content's
+    rows carry no more than the node and its band; what else the choice needs is
+    joined to the few that a second document shares.
+    """
+    chosen = seen.select("node", "sigs0", "sigs1").join(copies, "node", "left_anti")
+    cells = chosen.select((F.col("node") * 2).alias("owner"), F.explode("sigs0").alias("sig")).unionByName(chosen.select((F.col("node") * 2 + 1).alias("owner"), F.explode("sigs1").alias("sig")))
+    often = staged(cells.groupBy("sig").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"), "jaccard-often")
+    release(seen.sparkSession)
     shared = staged(cells.join(often, "sig"), "jaccard-shared")
-    own = Window.partitionBy("node", "band")
+    release(seen.sparkSession)
+    limits = seen.select((F.col("node") * 2).alias("owner"), F.col("keep0").alias("keep"), F.col("m0").alias("m")).unionByName(seen.select((F.col("node") * 2 + 1).alias("owner"), F.col("keep1").alias("keep"), F.col("m1").alias("m")).filter("m > 0"))
+    own = Window.partitionBy("owner")
     # contents that no other document has come first, then the others from the rarest
-    prefix = shared.withColumn("at", F.col("m") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("often", "sig"))).filter("at <= keep").select("sig", "node")
+    at = F.col("m") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("often", "sig"))
+    prefix = staged(shared.join(limits, "owner").withColumn("at", at).filter("at <= keep").select("sig", F.shiftright("owner", 1).alias("node")), "jaccard-prefix")
     least = prefix.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig", "a")
     return prefix.join(least, "sig").filter("node != a").select("a", F.col("node").alias("b")).distinct()
 
@@ -275,13 +283,14 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     spark = docs.sparkSession
     source = located(docs if {id_col, text_col} == {"doc_id", "text"} else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     source = source.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "__doc_file", "__doc_row")
-    seen = staged(source.mapInArrow(profiles(rule), PROFILE), "jaccard-profiles")
-    place = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("__doc_file").alias("file"), F.col("__doc_row").alias("row"))).alias("first")
-    grouped = seen.filter("n_shingles > 0").groupBy("ka", "kb", "n_shingles").agg(place, *[F.first(c).alias(c) for c in ("keep0", "sigs0", "keep1", "sigs1")])
-    nodes = staged(grouped.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
-    regions = connected_components(candidate_stars(nodes)).withColumnRenamed("root", "region")
-
-    sized = staged(regions.join(nodes.select("node", "n_shingles", "first.file", "first.row"), "node"), "jaccard-active")
+    seen = staged(source.mapInArrow(profiles(rule), PROFILE).withColumn("node", F.monotonically_increasing_id()), "jaccard-profiles")
+    place = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("node").alias("node"))).alias("first")
+    nodes = staged(seen.filter("n_shingles > 0").groupBy("ka", "kb", "n_shingles").agg(place), "jaccard-nodes")
+    alike = ["ka", "kb", "n_shingles"]
+    copies = staged(seen.filter("n_shingles > 0").select("node", *alike).join(nodes, alike).filter("node != first.node").select("node"), "jaccard-copies")
+    regions = connected_components(candidate_stars(seen, copies)).withColumnRenamed("root", "region")
+
+    sized = staged(regions.join(seen.select("node", "n_shingles", F.col("__doc_file").alias("file"), F.col("__doc_row").alias("row")), "node"), "jaccard-active")
     weight = sized.groupBy("region").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("shingles"))
     tiles = F.greatest(F.lit(1), F.ceil(F.col("docs") / (REGION_DOCS // 2)), F.ceil(F.col("shingles") / (REGION_SHINGLES // 2)))
     large = staged(weight.filter((F.col("docs") > REGION_DOCS) | (F.col("shingles") > REGION_SHINGLES)).select("region", tiles.cast("int").alias("tiles")), "jaccard-large")
@@ -301,16 +310,16 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     stars = staged(sets.groupBy("region").applyInArrow(joined_region(rule), "a long, b long"), "jaccard-links")
     roots = connected_components(stars) if split else stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
-    named = nodes.select("node", "ka", "kb", "n_shingles", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = staged(named.select("ka", "kb", "n_shingles", "root", "first"), "jaccard-named")
+    named = nodes.select(F.col("first.node").alias("node"), *alike, "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = staged(named.select(*alike, "root", "first"), "jaccard-named")
     chosen = named.groupBy("root").agg(F.min("first").alias("first"))
-    of = named.select("ka", "kb", "n_shingles", "root").join(chosen, "root").drop("root")
+    of = named.select(*alike, "root").join(chosen, "root").drop("root")
     alone = F.col("first").isNull()
-    return seen.select("doc_id", "__doc_file", "__doc_row", "n_shingles", "ka", "kb").join(of, ["ka", "kb", "n_shingles"], "left").select(
+    return seen.select("doc_id", "__doc_file", "__doc_row", "node", *alike).join(of, alike, "left").select(
         "doc_id",
         "n_shingles",
         F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
-        (alone | ((F.col("first.file") == F.col("__doc_file")) & (F.col("first.row") == F.col("__doc_row")))).alias("kept"),
+        (alone | (F.col("first.node") == F.col("node"))).alias("kept"),
         "__doc_file",
         "__doc_row",
     )

@@ -6,6 +6,7 @@ session without that setting falls back to a folder of this machine.
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -33,6 +34,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are done with.
+
+    It does so when the driver's JVM collects them, which may be long after
+    their disk is needed for the next shuffle.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a written table that nothing reads any more."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
