@@ -12,7 +12,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from candlespark.llm.docstats import COUNTS, FEATURES, bounded, document_statistics, labelled, matrix
 from candlespark.llm.staging import staged
