@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlespark.llm.staging import from_files, located, scratch, staged
+from candlespark.llm.staging import discard, from_files, located, scratch, staged
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -110,8 +110,11 @@ def exact_dedup(
     many = staged(states.filter("n > 1"), "dedup-hits")
     decided = rows.join(many, "digest", "left").select(*rows.columns, "keeper", "n")
     # the bytes of all texts under a digest are equal when the least and the greatest are
-    hits = staged(texts.withColumn("digest", digest(F.col("norm"))).join(many.select("digest").hint("merge"), "digest").select("digest", "norm"), "dedup-texts")
+    held = scratch(spark, "dedup-texts")
+    texts.withColumn("digest", digest(F.col("norm"))).join(many.select("digest").hint("merge"), "digest").select("digest", "norm").write.parquet(held)
+    hits = spark.read.schema("digest binary, norm string").parquet(held)
     clashes = staged(hits.groupBy("digest").agg(F.min("norm").alias("least"), F.max("norm").alias("most")).filter("least != most").select("digest"), "dedup-clashes")
+    discard(spark, held)
     if not clashes.isEmpty():
         odd = staged(texts.withColumn("digest", digest(F.col("norm"))).join(clashes, "digest").withColumn("sha", F.sha2("norm", 256)), "dedup-odd")
         groups = odd.groupBy("digest", "norm").agg(F.min(best()).alias("keeper"), F.count(F.lit(1)).alias("n"))
