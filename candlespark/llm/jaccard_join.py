@@ -62,8 +62,8 @@ def band_table(rule: Rule, largest: int) -> tuple[np.ndarray, np.ndarray, np.nda
     """(first size, classes m, differences d) of each band of set sizes up to ``largest``.
 
     A band holds the pairs whose smaller set has a size in it; d is the most
-    shingles in which such a linked pair can differ. m leaves a quarter of the
-    classes over, which the most frequent class contents of a document fill.
+    shingles in which such a linked pair can differ. m leaves three sixteenths of
+    d over, which the most frequent class contents of a document fill.
     """
     first = [1]
     while first[-1] <= largest:
@@ -71,7 +71,7 @@ def band_table(rule: Rule, largest: int) -> tuple[np.ndarray, np.ndarray, np.nda
     small = np.array(first[1:], dtype=np.int64) - 1
     together = small + small * rule.den // rule.num
     d = together * (rule.den - rule.num) // (rule.den + rule.num)
-    return np.array(first[:-1], dtype=np.int64), np.where(d > 0, d + 1 + (d + 3) // 4, 0), d
+    return np.array(first[:-1], dtype=np.int64), np.where(d > 0, d + 1 + (3 * d + 15) // 16, 0), d
 
 
 def class_contents(row: np.ndarray, h: np.ndarray, sizes: np.ndarray, which: np.ndarray, bands: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
