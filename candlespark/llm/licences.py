@@ -82,6 +82,9 @@ TRIGGER = r"(?i)licens|software|copyright|redistribut|warrant"
 #: Sentences end at these marks before white space, at the text's end and at blank lines; lines are also tried one by one.
 SENTENCE_END, LINE_END = r"[.!?:;]+(?:[ \t\r\n]+|\z)|\n[ \t\r]*\n", r"[.!?:;]+(?:[ \t\r\n]+|\z)|[\r\n]+"
 NO_WORD = "[^a-z0-9]+"
+#: The scan itself cuts nothing off: a known sentence lies between two marks, and marks other than blank lines may lie in it,
+#: as in "License-Identifier: MIT", "WARRANTY; without" and "v. 2.0". The three patterns above are those of oracle_sql().
+BLANK, MARK, BETWEEN = r"\n(?:[ \t\r]*\n)+", r"[.!?:;]+(?=[ \t\r\n]|\z)|[\r\n]+", " (?:S )*+"
 
 
 def rule_pattern(rule: str) -> str:
@@ -98,11 +101,24 @@ def portable_pattern(rule: str) -> str:
     return ";" + rule_pattern(rule).removeprefix("(?<=;)")
 
 
-def known_sentences(text: Column, ends: str) -> Column:
+def spoken(said: str) -> str:
+    """A known sentence as a pattern over marked(): marks of one paragraph may stand between its words."""
+    return said.replace(" ", BETWEEN)
+
+
+def marked(text: Column) -> Column:
+    """A text in lower case, one space for all that is no letter or digit, S for each sentence or line end, P for each blank line and both ends."""
+    paragraphs = F.concat(F.lit("P "), F.regexp_replace(F.lower(text), BLANK, " P "), F.lit(" P"))
+    return F.regexp_replace(F.regexp_replace(paragraphs, MARK, " S "), "[^a-z0-9SP]+", " ")
+
+
+def known_sentences(text: Column) -> Column:
     """The identifiers of a text's known sentences, in order, as ;A;B; (; alone: none)."""
+    longest_first = sorted(SENTENCES.values(), key=lambda said: (-len(said), said))
+    found = F.regexp_extract_all(marked(text), F.lit(f"(?<=[SP] )(?:{'|'.join(map(spoken, longest_first))})(?= [SP])"), F.lit(0))
     table = F.create_map(*[F.lit(x) for name, said in SENTENCES.items() for x in (said, name)])
-    plain = F.transform(F.split(F.lower(text), ends, -1), lambda s: F.try_element_at(table, F.trim(F.regexp_replace(s, NO_WORD, " "))))
-    return F.concat(F.lit(";"), F.array_join(F.transform(F.filter(plain, lambda s: s.isNotNull()), lambda s: F.concat(s, F.lit(";"))), ""))
+    names = F.transform(found, lambda s: F.try_element_at(table, F.regexp_replace(s, " S(?= )", "")))
+    return F.concat(F.lit(";"), F.array_join(F.transform(names, lambda s: F.concat(s, F.lit(";"))), ""))
 
 
 def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -116,10 +132,8 @@ def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     may = text.rlike(TRIGGER)
-    found = docs.select(F.col(id_col).alias("doc_id"), *[F.when(may, known_sentences(text, ends)).otherwise(F.lit(";")).alias(name) for name, ends in (("whole", SENTENCE_END), ("lines", LINE_END))])
-    # a recognised sentence over line ends says more than its parts; otherwise lines do
-    ids = F.when(F.length("whole") - F.length(F.replace(F.col("whole"), F.lit(";"))) >= F.length("lines") - F.length(F.replace(F.col("lines"), F.lit(";"))), F.col("whole")).otherwise(F.col("lines"))
-    found = found.select("doc_id", ids.alias("ids"), ids.alias("left"), F.lit("").alias("names"))
+    ids = F.when(may, known_sentences(text)).otherwise(F.lit(";"))
+    found = docs.select(F.col(id_col).alias("doc_id"), ids.alias("ids")).select("doc_id", "ids", F.col("ids").alias("left"), F.lit("").alias("names"))
     for name, rule in RULES:
         pattern = portable_pattern(rule)
         hit = F.col("left").rlike(pattern)
@@ -134,7 +148,7 @@ def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def oracle_sql() -> str:
-    """The same scan in DuckDB's SQL."""
+    """A narrower scan in DuckDB's SQL: it cuts at every mark, so it knows only sentences without one inside."""
     said = "MAP {" + ", ".join(f"'{text}': '{name}'" for name, text in SENTENCES.items()) + "}"
 
     def known(ends: str) -> str:

@@ -294,3 +294,51 @@ def test_every_known_sentence_can_be_found():
     for said in licences.SENTENCES.values():
         assert re.search(licences.TRIGGER, said) and re.fullmatch(r"[a-z0-9]+( [a-z0-9]+)*", said)
     assert {n.strip("()?") for _, rule in licences.RULES for item in rule.split() for n in item.split("|")} <= set(licences.SENTENCES)
+
+
+GPL = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version {} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def scanned(spark, texts):
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [(r.sentence_ids, r.licences) for r in licences.licence_scan(table).orderBy("doc_id").collect()]
+
+
+def test_licences_in_their_original_wording(spark):
+    expected = {
+        "SPDX-License-Identifier: MIT": ("MIT_SPDX", "MIT"),
+        "# SPDX-License-Identifier: Apache-2.0\nimport os\n": ("APACHE_SPDX", "Apache-2.0"),
+        "SPDX-License-Identifier: MIT OR Foo": ("", ""),
+        GPL.format(":", 3): ("GPL_3_GRANT;GPL_WARRANTY;GPL_SEE;GPL_COPY", "GPL-3.0-or-later"),
+        GPL.format(";", 2): ("GPL_2_GRANT;GPL_WARRANTY;GPL_SEE;GPL_COPY", "GPL-2.0-or-later"),
+        APACHE: ("APACHE_GRANT_COMPLY;APACHE_COPY;APACHE_AS_IS;APACHE_SEE", "Apache-2.0"),
+        MPL: ("MPL_2", "MPL-2.0"),
+        "  Released under the\n\nMIT License.": ("", ""),
+    }
+    assert scanned(spark, expected) == list(expected.values())
+    assert [ids for ids, _ in scanned(spark, licences.SENTENCES.values())] == list(licences.SENTENCES)
