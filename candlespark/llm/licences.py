@@ -77,6 +77,22 @@ RULES = [
     ("GPL", "GPL_SEE|GPL_COPY"),
 ]
 
+#: What the SQL doesn't know: more sentences, and such that name somebody (in <>, one to 15 words).
+MORE_SENTENCES = {
+    "ISC_GRANT_AND": "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "BSD_ADVERT": "all advertising materials mentioning features or use of this software must display the following acknowledgement",
+    **{f"{name}_SPDX": f"spdx license identifier {said}" for name, said in (("ISC", "isc"), ("BSD_2", "bsd 2 clause"), ("BSD_3", "bsd 3 clause"), ("BSD_4", "bsd 4 clause"), ("MPL_2", "mpl 2 0"), ("CC_BY_4", "cc by 4 0"), ("CC_BY_SA_4", "cc by sa 4 0"), ("CC_BY_NC_4", "cc by nc 4 0"), ("GPL_2", "gpl 2 0 only"), ("GPL_2_LATER", "gpl 2 0 or later"), ("GPL_3", "gpl 3 0 only"), ("GPL_3_LATER", "gpl 3 0 or later"))},
+}
+NAMING = {
+    "BSD_ENDORSE": "neither the name of <> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "BSD_AS_IS": "this software is provided by <> as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+}
+FIRST_RULES = [("BSD-4-Clause", "BSD_GRANT BSD_SOURCE BSD_BINARY BSD_ADVERT BSD_ENDORSE (BSD_AS_IS)?")]
+MORE_RULES = [
+    ("ISC", "ISC_GRANT_AND|ISC_SPDX"),
+    *[(name, f"{said}_SPDX") for name, said in (("BSD-4-Clause", "BSD_4"), ("BSD-3-Clause", "BSD_3"), ("BSD-2-Clause", "BSD_2"), ("GPL-3.0-or-later", "GPL_3_LATER"), ("GPL-2.0-or-later", "GPL_2_LATER"), ("GPL-3.0-only", "GPL_3"), ("GPL-2.0-only", "GPL_2"), ("CC-BY-NC-4.0", "CC_BY_NC_4"), ("CC-BY-SA-4.0", "CC_BY_SA_4"), ("CC-BY-4.0", "CC_BY_4"), ("MPL-2.0", "MPL_2"))],
+]
+
 #: Each known sentence has one of these words, so a text without them has none of the sentences.
 TRIGGER = r"(?i)licens|software|copyright|redistribut|warrant"
 #: Sentences end at these marks before white space, at the text's end and at blank lines; lines are also tried one by one.
@@ -84,7 +100,8 @@ SENTENCE_END, LINE_END = r"[.!?:;]+(?:[ \t\r\n]+|\z)|\n[ \t\r]*\n", r"[.!?:;]+(?
 NO_WORD = "[^a-z0-9]+"
 #: The scan itself cuts nothing off: a known sentence lies between two marks, and marks other than blank lines may lie in it,
 #: as in "License-Identifier: MIT", "WARRANTY; without" and "v. 2.0". The three patterns above are those of oracle_sql().
-BLANK, MARK, BETWEEN = r"\n(?:[ \t\r]*\n)+", r"[.!?:;]+(?=[ \t\r\n]|\z)|[\r\n]+", " (?:S )*+"
+#: A line without a letter or digit is blank, so a comment's empty lines ("#", " *", "//") are, and its leaders are no words.
+BLANK, MARK, BETWEEN = r"\n(?:[\p{P}\p{S} \t\r]*\n)+", r"[.!?:;]+(?=[ \t\r\n]|\z)|[\r\n]+", " (?:S )*+"
 
 
 def rule_pattern(rule: str) -> str:
@@ -103,7 +120,7 @@ def portable_pattern(rule: str) -> str:
 
 def spoken(said: str) -> str:
     """A known sentence as a pattern over marked(): marks of one paragraph may stand between its words."""
-    return said.replace(" ", BETWEEN)
+    return said.replace(" ", BETWEEN).replace("<>", f"[a-z0-9]+(?:{BETWEEN}[a-z0-9]+){{0,14}}?")
 
 
 def marked(text: Column) -> Column:
@@ -114,10 +131,12 @@ def marked(text: Column) -> Column:
 
 def known_sentences(text: Column) -> Column:
     """The identifiers of a text's known sentences, in order, as ;A;B; (; alone: none)."""
-    longest_first = sorted(SENTENCES.values(), key=lambda said: (-len(said), said))
+    said = SENTENCES | MORE_SENTENCES
+    longest_first = [*NAMING.values(), *sorted(said.values(), key=lambda x: (-len(x), x))]
     found = F.regexp_extract_all(marked(text), F.lit(f"(?<=[SP] )(?:{'|'.join(map(spoken, longest_first))})(?= [SP])"), F.lit(0))
-    table = F.create_map(*[F.lit(x) for name, said in SENTENCES.items() for x in (said, name)])
-    names = F.transform(found, lambda s: F.try_element_at(table, F.regexp_replace(s, " S(?= )", "")))
+    table = F.create_map(*[F.lit(x) for name, words in said.items() for x in (words, name)])
+    naming = lambda s: [F.when(s.rlike(rf"\A{spoken(words)}\z"), F.lit(name)) for name, words in NAMING.items()]
+    names = F.transform(found, lambda s: F.coalesce(F.try_element_at(table, F.regexp_replace(s, " S(?= )", "")), *naming(s)))
     return F.concat(F.lit(";"), F.array_join(F.transform(names, lambda s: F.concat(s, F.lit(";"))), ""))
 
 
@@ -126,15 +145,16 @@ def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     sentence_ids are the known sentences in reading order; licences the names of
     the rules that matched, in rule order, each once, both separated by ";" and
-    empty where there is none. Sentences may run over line ends; a line that
-    stands for itself counts too. A null or empty text has no sentences;
+    empty where there is none. Sentences may run over line ends and comment
+    leaders, but not over blank lines; they begin and end at a line's or a
+    sentence's end. A null or empty text has no sentences;
     repeated rows are scanned one by one. Other columns are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     may = text.rlike(TRIGGER)
     ids = F.when(may, known_sentences(text)).otherwise(F.lit(";"))
     found = docs.select(F.col(id_col).alias("doc_id"), ids.alias("ids")).select("doc_id", "ids", F.col("ids").alias("left"), F.lit("").alias("names"))
-    for name, rule in RULES:
+    for name, rule in [*FIRST_RULES, *RULES, *MORE_RULES]:
         pattern = portable_pattern(rule)
         hit = F.col("left").rlike(pattern)
         found = found.select(
@@ -148,7 +168,7 @@ def licence_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def oracle_sql() -> str:
-    """A narrower scan in DuckDB's SQL: it cuts at every mark, so it knows only sentences without one inside."""
+    """A narrower scan in DuckDB's SQL: it cuts at every mark, knows SENTENCES and RULES alone and takes the lines' sentences or the whole text's, not both."""
     said = "MAP {" + ", ".join(f"'{text}': '{name}'" for name, text in SENTENCES.items()) + "}"
 
     def known(ends: str) -> str:

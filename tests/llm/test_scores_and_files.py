@@ -342,3 +342,43 @@ def test_licences_in_their_original_wording(spark):
     }
     assert scanned(spark, expected) == list(expected.values())
     assert [ids for ids, _ in scanned(spark, licences.SENTENCES.values())] == list(licences.SENTENCES)
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY {} "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+ENDORSE = """3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from this
+   software without specific prior written permission.
+"""
+ADVERT = """3. All advertising materials mentioning features or use of this software
+   must display the following acknowledgement: This product includes software
+   developed by the University.
+"""
+
+
+def test_licences_in_comments_and_with_names(spark):
+    leads = ["# ", " * ", "// ", ";; ", "-- ", ""]
+    texts = ["\n".join((lead + line).rstrip() for line in MIT.split("\n")) for lead in leads]
+    assert scanned(spark, texts) == [("MIT_GRANT;MIT_NOTICE", "MIT")] * len(texts)
+    bsd = "BSD_GRANT;BSD_SOURCE;BSD_BINARY;"
+    expected = {
+        "MIT License\n" + MIT.split("\n\n")[1]: ("MIT_GRANT", "MIT"),
+        MPL + "\nReleased under the MIT License\nLicensed under CC BY 4.0\n": ("MPL_2;MIT_SHORT;CC_BY_4", "MIT;CC-BY-4.0;MPL-2.0"),
+        BSD.format("", "THE COPYRIGHT HOLDERS AND CONTRIBUTORS"): (bsd + "BSD_AS_IS", "BSD-2-Clause"),
+        BSD.format(ENDORSE.format("Google Inc."), "THE COPYRIGHT HOLDERS AND CONTRIBUTORS"): (bsd + "BSD_ENDORSE;BSD_AS_IS", "BSD-3-Clause"),
+        BSD.format(ENDORSE.format("the copyright holder"), "THE REGENTS AND CONTRIBUTORS"): (bsd + "BSD_ENDORSE;BSD_AS_IS", "BSD-3-Clause"),
+        BSD.format(ADVERT + ENDORSE.format("the University"), "THE REGENTS AND CONTRIBUTORS"): (bsd + "BSD_ADVERT;BSD_ENDORSE;BSD_AS_IS", "BSD-4-Clause"),
+        "// SPDX-License-Identifier: GPL-2.0-or-later": ("GPL_2_LATER_SPDX", "GPL-2.0-or-later"),
+        "/* SPDX-License-Identifier: BSD-3-Clause */": ("BSD_3_SPDX", "BSD-3-Clause"),
+    }
+    assert scanned(spark, expected) == list(expected.values())
