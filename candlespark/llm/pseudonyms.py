@@ -22,6 +22,19 @@ from pyspark.sql import functions as F
 
 ROUNDS = 10
 DAY_ZERO, DAYS = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal() - dt.date(1900, 1, 1).toordinal()
+# The registered lengths of IBANs.
+IBAN_LENGTHS = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO EG GT HU LB NI PL SV",
+        29: "BR PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+CARD_SHAPES = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 3, 3, 3), (6, 13)}
+FEW_GROUPS = 12
+LONGEST_CARD = re.compile(r"(?<!\w)[0-9](?:[ -]?[0-9]){12,18}(?!\w)")
 KINDS = ["card", "iban", "ssn", "phone", "date", "ipv4", "email", "secret"]
 
 
@@ -79,12 +92,71 @@ def _digits(text: str) -> str:
 
 
 def card(text: str, f: Feistel, back: bool) -> str | None:
-    d = _digits(text)
-    if luhn_digit(d[:-1]) != d[-1] or len(set(d)) == 1:
+    if not is_card(text):
         return None
+    d = _digits(text)
     n = len(d) - 1
-    body = f"{f.permute('card', 10**n, int(d[:-1]), back):0{n}d}"
-    return refilled(text, body + luhn_digit(body))
+    while True:
+        body = f"{f.permute('card', 10**n, int(d[:-1]), back):0{n}d}"
+        d = body + luhn_digit(body)
+        if len(set(d)) > 1:
+            return refilled(text, d)
+
+
+def is_card(text: str) -> bool:
+    d = _digits(text)
+    return luhn_digit(d[:-1]) == d[-1] and len(set(d)) > 1
+
+
+def card_tries(run: str, usual: bool) -> list[tuple[int, int]]:
+    """Spans of whole digit groups of ``run`` that may be cards, in the order in which they are tried, which no digit changes.
+
+    Spans grouped as cards are go first, then the longest from the left; unless
+    ``usual``, every other one follows (of groups of three digits and more, if
+    there are over FEW_GROUPS). Longer spans go before shorter ones.
+    """
+    groups = [m.span() for m in re.finditer("[0-9]+", run)]
+    longest = {m.span() for m in LONGEST_CARD.finditer(run)}
+    tries = []
+    for i, (start, _) in enumerate(groups):
+        n, shape = 0, []
+        for first, end in groups[i : i + 19]:
+            shape.append(end - first)
+            n += shape[-1]
+            if n > 19:
+                break
+            rank = 0 if len(shape) == 1 or tuple(shape) in CARD_SHAPES else 1 if (start, end) in longest else 2
+            if n >= 13 and (rank < 2 or (not usual and (len(groups) <= FEW_GROUPS or min(shape) >= 3))):
+                tries.append((rank, -n, start, end))
+    return [(start, end) for _, _, start, end in sorted(tries)]
+
+
+def cards(run: str, f: Feistel, back: bool, usual: bool, taken: Callable[[int, int], bool]) -> list[tuple[int, int, str]]:
+    """(start, end, pseudonym) of a run's cards, none over another or what is ``taken``.
+
+    A pseudonym that would make a card of what was tried in vain before, or the
+    other way round, is permuted on: so the run is cut alike when it is inverted.
+    """
+    tries, used, spans = card_tries(run, usual), bytearray(len(run)), []
+    by_start: dict[int, list[tuple[int, int]]] = {}
+    for place, (start, end) in enumerate(tries):
+        by_start.setdefault(start, []).append((place, end))
+        if not any(used[start:end]) and is_card(run[start:end]) and not taken(start, end):
+            used[start:end] = b"\1" * (end - start)
+            spans.append((place, start, end))
+    out = []
+    for place, start, end in reversed(spans) if back else spans:
+        before = [(s, e) for s in range(max(0, start - 37), end) for p, e in by_start.get(s, ()) if p < place and e > start]
+        held = [is_card(run[s:e]) for s, e in before]
+        new = run[start:end]
+        while True:
+            new = card(new, f, back)
+            again = run[:start] + new + run[end:] if before else run
+            if [is_card(again[s:e]) for s, e in before] == held:
+                break
+        run = run[:start] + new + run[end:]
+        out.append((start, end, new))
+    return out
 
 
 def ssn(text: str, f: Feistel, back: bool) -> str | None:
@@ -144,6 +216,13 @@ def iban(text: str, f: Feistel, back: bool) -> str | None:
     return refilled(text, plain[:2] + iban_check(plain[:2], account) + account, str.isalnum)
 
 
+def iban_ends(text: str) -> list[int]:
+    """Where an IBAN that begins ``text`` may end: at its country's length first, then at ends of groups, longest first."""
+    ends = [m.end() for m in re.finditer(r"[A-Z0-9]+", text)]
+    own = next((e for e in ends if len(text[:e].replace(" ", "")) == IBAN_LENGTHS.get(text[:2])), None)
+    return [*([own] if own else []), *(e for e in reversed(ends) if e != own)]
+
+
 def mixed(text: str, label: str, f: Feistel, back: bool) -> str:
     """Letters and digits permuted within their kinds, as one mixed-radix number; the rest stays."""
     kinds = [(10, "0") if "0" <= c <= "9" else (26, "a") if "a" <= c <= "z" else (26, "A") if "A" <= c <= "Z" else None for c in text]
@@ -179,7 +258,7 @@ PATTERNS = {
     "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}",
     "secret": r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?",
-    "card": r"[0-9](?:[ -]?[0-9]){12,18}",
+    "card": r"[0-9]+(?:[ -][0-9]+)*",  # a run of digit groups, see card_tries
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "phone": r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}",
     "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})",
@@ -207,17 +286,44 @@ class Pseudonymiser:
         """
         counts: dict[str, int] = {}
         spans: list[tuple[int, int, str]] = []
+
+        def found(kind: str, start: int, end: int, new: str) -> None:
+            spans.append((start, end, new))
+            counts[kind] = counts.get(kind, 0) + 1
+
+        def taken(start: int, end: int) -> bool:
+            return any(start < e and s < end for s, e, _ in spans)
+
+        def card_runs(usual: bool) -> None:
+            for m in _COMPILED["card"].finditer(text):
+                if m.end() - m.start() >= 13:
+                    at = m.start()
+                    for start, end, new in cards(m[0], self.feistel, self.back, usual, lambda s, e: taken(at + s, at + e)):
+                        found("card", at + start, at + end, new)
+
         if _NEEDS.search(text):
             for kind, pattern in _COMPILED.items():
                 if kind == "email" and "@" not in text:
                     continue
-                for m in pattern.finditer(text):
-                    if any(m.start() < e and s < m.end() for s, e, _ in spans):
-                        continue
-                    new = _REWRITE[kind](m[0], self.feistel, self.back)
-                    if new is not None:
-                        spans.append((m.start(), m.end(), new))
-                        counts[kind] = counts.get(kind, 0) + 1
+                if kind == "card":
+                    card_runs(usual=True)
+                    continue
+                at = 0
+                while m := pattern.search(text, at):
+                    at = m.end()
+                    for end in iban_ends(m[0]) if kind == "iban" else [len(m[0])]:
+                        if taken(m.start(), m.start() + end):
+                            continue
+                        new = _REWRITE[kind](m[0][:end], self.feistel, self.back)
+                        if new is not None:
+                            at = m.start() + end
+                            found(kind, m.start(), at, new)
+                            break
+                    else:
+                        if kind == "iban":
+                            at = m.start() + 1
+            # groupings that cards seldom have, where nothing else was read
+            card_runs(usual=False)
         if not spans:
             return text, counts
         out, at = [], 0
@@ -244,7 +350,9 @@ def pseudonyms(docs: DataFrame, key: bytes, *, back: bool = False, id_col: str =
     """One row per document: doc_id, text with pseudonyms, n_found and one count for each of KINDS.
 
     Values that fail their format's check (Luhn, IBAN, calendar, octets, ...)
-    stay as they are. A null text stays null and an empty one empty, with no
+    stay as they are. Cards are tried at every digit group, IBANs at their
+    country's length. A card that other digits might make part of another stays apart from them: such
+    values may get another pseudonym than elsewhere. A null text stays null and an empty one empty, with no
     finds; repeated rows are rewritten alike. ``back`` inverts with the same
     key. Other columns are ignored.
     """

@@ -382,3 +382,27 @@ def test_licences_in_comments_and_with_names(spark):
         "/* SPDX-License-Identifier: BSD-3-Clause */": ("BSD_3_SPDX", "BSD-3-Clause"),
     }
     assert scanned(spark, expected) == list(expected.values())
+
+
+BESIDE = {  # text: kind, and what stays of it
+    "4111 1111 1111 1111 12/25": ("card", r"\d{4} \d{4} \d{4} \d{4} 12/25"),
+    "4111111111111111 123": ("card", r"\d{16} 123"),
+    "no 7 4111111111111111": ("card", r"no 7 \d{16}"),
+    "12 34 4111 1111 1111 1111": ("card", r"12 34 \d{4} \d{4} \d{4} \d{4}"),
+    "378282 246310005 99 1": ("card", r"\d{6} \d{9} 99 1"),
+    "BE68 5390 0754 7034 BIC GEBABEBB": ("iban", r"BE\d\d \d{4} \d{4} \d{4} BIC GEBABEBB"),
+    "BE68539007547034 EUR 20": ("iban", r"BE\d{14} EUR 20"),
+    "AB12 CDEF GHIJ BE68539007547034": ("iban", r"AB12 CDEF GHIJ BE\d{14}"),
+}
+
+
+def test_pseudonyms_beside_other_digits_and_capitals():
+    for key in (b"k", b"l", b"m"):
+        forth, back = pseudonyms.Pseudonymiser(key), pseudonyms.Pseudonymiser(key, back=True)
+        for text, (kind, stays) in BESIDE.items():
+            new, counts = forth.rewrite(text)
+            assert counts[kind] == 1 and new != text and re.fullmatch(stays, new), (text, new)
+            assert back.rewrite(new)[0] == text
+        two = forth.rewrite("4111 1111 1111 1111 5500 0000 0000 0004")
+        assert two[1] == {"card": 2} and two[0][:19] == forth.rewrite("4111 1111 1111 1111")[0]
+        assert forth.rewrite("BE68 5390 0754 7034 BE68539007547034")[1] == {"iban": 2}
