@@ -173,15 +173,25 @@ def ssn(text: str, f: Feistel, back: bool) -> str | None:
 def phone(text: str, f: Feistel, back: bool) -> str | None:
     d = _digits(text)
     lead, rest = d[:-10], d[-10:]
-    if len(d) < 10 or len(d) > 13:
+    if text[0] == "+" and 8 <= len(d) <= 10:  # a short national number: all digits but the first two
+        return refilled(text, d[:2] + f"{f.permute('phone-short', 10 ** (len(d) - 2), int(d[2:]), back):0{len(d) - 2}d}")
+    if len(d) < 10 or len(d) > (15 if text == "+" + d else 13):
         return None
-    if rest[0] in "01" or rest[3] in "01":  # outside the North American plan: all digits but the lead
-        return refilled(text, lead + f"{f.permute('phone-any', 10**10, int(rest), back):010d}")
+    if rest[0] in "01" or rest[3] in "01":  # outside the North American plan: all digits but the lead, until it is outside again
+        while True:
+            rest = f"{f.permute('phone-any', 10**10, int(rest), back):010d}"
+            if (rest[0] not in "01" and rest[3] in "01") if text == d else rest[0] in "01" or rest[3] in "01":
+                return refilled(text, lead + rest)
     x = ((int(rest[0]) - 2) * 100 + int(rest[1:3])) * 8_000_000 + (int(rest[3]) - 2) * 1_000_000 + int(rest[4:])
     area, line = divmod(f.permute("phone", 800 * 8_000_000, x, back), 8_000_000)
     return refilled(text, f"{lead}{area + 200:03d}{line + 2_000_000:07d}")
 
 
+def phone_ends(text: str) -> list[int]:
+    """Where a number that begins ``text`` may end: international ones with separators at ends of groups, longest first."""
+    return [m.end() for m in re.finditer("[0-9]+", text)][::-1] if text[0] == "+" else [len(text)]
+
+
 def _dated(year: str, month: str, day: str, f: Feistel, back: bool) -> dt.date | None:
     try:
         x = dt.date(int(year), int(month), int(day)).toordinal() - DAY_ZERO
@@ -194,6 +204,13 @@ def date(text: str, f: Feistel, back: bool) -> str | None:
     parts = re.split(r"[-/.]", text)
     year_first = len(parts[0]) == 4
     found = _dated(*(parts if year_first else reversed(parts)), f, back)
+    if found is None and not year_first:
+        # month first, as day first is no date; what is written must not be one either
+        month, day, year = parts
+        found = _dated(year, month, day, f, back)
+        while found is not None and found.day <= 12:
+            found = _dated(str(found.year), str(found.month), str(found.day), f, back)
+        return found and refilled(text, f"{found.month:02d}{found.day:02d}{found.year:04d}")
     if found is None:
         return None
     y, m, d = f"{found.year:04d}", f"{found.month:02d}", f"{found.day:02d}"
@@ -260,7 +277,7 @@ PATTERNS = {
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?",
     "card": r"[0-9]+(?:[ -][0-9]+)*",  # a run of digit groups, see card_tries
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
-    "phone": r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}",
+    "phone": r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+[1-9][0-9]{7,14}(?!\w)|\+[1-9][0-9]{0,2}(?:[ .-](?:\([0-9]{1,4}\) ?)?[0-9]{2,8}){1,5}|[2-9][0-9]{9}(?![.,][0-9])",
     "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})",
     "ipv4": r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}",
 }
@@ -311,7 +328,7 @@ class Pseudonymiser:
                 at = 0
                 while m := pattern.search(text, at):
                     at = m.end()
-                    for end in iban_ends(m[0]) if kind == "iban" else [len(m[0])]:
+                    for end in iban_ends(m[0]) if kind == "iban" else phone_ends(m[0]) if kind == "phone" else [len(m[0])]:
                         if taken(m.start(), m.start() + end):
                             continue
                         new = _REWRITE[kind](m[0][:end], self.feistel, self.back)
@@ -351,7 +368,8 @@ def pseudonyms(docs: DataFrame, key: bytes, *, back: bool = False, id_col: str =
 
     Values that fail their format's check (Luhn, IBAN, calendar, octets, ...)
     stay as they are. Cards are tried at every digit group, IBANs at their
-    country's length. A card that other digits might make part of another stays apart from them: such
+    country's length. A date with the month first keeps a day over 12, and a
+    card that other digits might make part of another stays apart from them: such
     values may get another pseudonym than elsewhere. A null text stays null and an empty one empty, with no
     finds; repeated rows are rewritten alike. ``back`` inverts with the same
     key. Other columns are ignored.

@@ -393,6 +393,12 @@ BESIDE = {  # text: kind, and what stays of it
     "BE68 5390 0754 7034 BIC GEBABEBB": ("iban", r"BE\d\d \d{4} \d{4} \d{4} BIC GEBABEBB"),
     "BE68539007547034 EUR 20": ("iban", r"BE\d{14} EUR 20"),
     "AB12 CDEF GHIJ BE68539007547034": ("iban", r"AB12 CDEF GHIJ BE\d{14}"),
+    "due 12/25/2020": ("date", r"due (0\d|1[0-2])/(1[3-9]|[23]\d)/\d{4}"),
+    "+15551234567": ("phone", r"\+1\d{10}"),
+    "5551234567": ("phone", r"[2-9]\d{9}"),
+    "+44 20 7946 0958": ("phone", r"\+44 \d\d \d{4} \d{4}"),
+    "+45 32 12 34 56": ("phone", r"\+45( \d\d){4}"),
+    "+15551234567 2024-01-02": ("phone", r"\+1\d{10} \d{4}-\d\d-\d\d"),
 }
 
 
@@ -406,3 +412,5 @@ def test_pseudonyms_beside_other_digits_and_capitals():
         two = forth.rewrite("4111 1111 1111 1111 5500 0000 0000 0004")
         assert two[1] == {"card": 2} and two[0][:19] == forth.rewrite("4111 1111 1111 1111")[0]
         assert forth.rewrite("BE68 5390 0754 7034 BE68539007547034")[1] == {"iban": 2}
+    for value in ("1697209500", "13/13/2020", "5551234567.5", "+12345"):
+        assert forth.rewrite(f"see {value} there")[0] == f"see {value} there"
