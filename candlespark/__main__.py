@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from candlespark.config import Settings
-from candlespark.operators.validate import admitted, gate
+from candlespark.operators.validate import admitted, dead_letters, gate
 from candlespark.plans import jobs
 from candlespark.sources import channels, decoders
 from candlespark.sources.store import Store
@@ -46,12 +46,12 @@ def main(args: list[str] | None = None) -> int:
         good = decoders.trades_of(events).withColumn("arrival", F.col("ts_ms"))
         gated = gate(good, settings.symbols, now, settings.max_skew_ms)
         channels.append_trades(admitted(gated), settings.stream)
-        letters = decoders.rejections_of(events).withColumn("stage", F.lit("ingest"))
+        letters = decoders.rejections_of(events).withColumn("stage", F.lit("ingest")).unionByName(dead_letters(gated))
         store.commit({"dead_letters": store.dead_letters().unionByName(letters)})
     elif given.verb == "aggregate":
         events = channels.read_trades(spark, settings.stream, settings.batch_files)
         trades = decoders.trades_of(events).withColumn("arrival", F.col("ts_ms"))
-        live.run(trades, store, settings.checkpoint, allowed_ms=settings.allowed_lateness_ms, live=not given.once).awaitTermination()
+        live.run(trades, store, settings.checkpoint, rejections=decoders.rejections_of(events), allowed_ms=settings.allowed_lateness_ms, live=not given.once).awaitTermination()
     elif given.verb == "read":
         rows = jobs.candles_range(store.candles(), given.symbol, given.tf, symbols=settings.symbols, end_ms=given.to or now, limit=given.limit)
         channels.frames(rows).select("frame").show(truncate=False)

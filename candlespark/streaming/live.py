@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from candlespark.operators.dedup import not_in_log
 from candlespark.operators.lateness import ALLOWED_LATENESS_MS, IDLE_GRACE_MS
 from candlespark.operators.merge import guarded_upsert
-from candlespark.schemas import BASE_TIMEFRAME, CANDLE, LATE, TIMEFRAMES
+from candlespark.schemas import BASE_TIMEFRAME, CANDLE, LATE, TIMEFRAMES, TRADE
 from candlespark.sources.store import Store
 
 EXACT = Context(prec=38)
-#: ``kind`` is candle, late or mark (the symbol's watermark, in ``time``); numbers are exact, ``seq`` orders the snapshots of a key.
-OUTPUT = "kind string, symbol string, tf string, time long, open decimal(18,8), high decimal(18,8), low decimal(18,8), close decimal(18,8), volume decimal(28,8), quote_volume decimal(38,16), trades long, closed boolean, seq long, payload string, detail string, source string"
+#: ``kind`` is candle, late, trade (accepted, its time in ``time``), refused (by the decoder) or mark (the symbol's watermark, in ``time``); numbers are exact, ``seq`` orders the snapshots of a key.
+OUTPUT = "kind string, symbol string, tf string, time long, open decimal(18,8), high decimal(18,8), low decimal(18,8), close decimal(18,8), volume decimal(28,8), quote_volume decimal(38,16), trades long, closed boolean, seq long, payload string, detail string, source string, reason string, trade_id string, price decimal(18,8), qty decimal(18,8), side string, arrival long"
 _NAMES = [c.split()[0] for c in OUTPUT.split(", ")]
 
 
@@ -87,16 +88,16 @@ class CandleProcessor(StatefulProcessor):
         self.buckets = {(k[0], k[1]): Candle(v[0]) for k, v in self.open.iterator()}
         self.ids = {k[0]: set(map(tuple, json.loads(v[0]))) for k, v in self.seen.iterator()}
 
-    def _accept(self, row: Row) -> bool:
-        """Fold a trade in; False if it is late."""
+    def _accept(self, row: Row) -> str:
+        """Fold a trade in: late, copy or new."""
         minute = row.ts_ms - row.ts_ms % MINUTE
         if self.watermark is not None and minute + MINUTE <= self.watermark:
-            return False
+            return "late"
         mark = row.ts_ms - self.allowed
         self.watermark = mark if self.watermark is None else max(self.watermark, mark)
         known, own = self.ids.setdefault(minute, set()), (row.source, row.trade_id)
         if own in known:
-            return True
+            return "copy"
         known.add(own)
         key = (row.ts_ms, len(row.trade_id), row.trade_id, row.source)
         notional = EXACT.multiply(row.price, row.qty)
@@ -107,7 +108,7 @@ class CandleProcessor(StatefulProcessor):
                 bucket = self.buckets[at] = Candle()
             bucket.add(key, row.price, row.qty, notional)
             self.dirty.add(at)
-        return True
+        return "new"
 
     def _flush(self, symbol: str) -> Iterator[Row]:
         """Close what the watermark has passed; a row for each closed or changed bucket; save the rest."""
@@ -138,10 +139,13 @@ class CandleProcessor(StatefulProcessor):
         self.dirty: set[tuple[str, int]] = set()
         # a shuffle keeps no order, so arrival says it
         for row in sorted(rows, key=lambda r: (r.arrival, len(r.trade_id), r.trade_id, r.source)):
-            if not self._accept(row):
+            judged = self._accept(row)
+            if judged == "new":
+                yield output(kind="trade", symbol=symbol, time=row.ts_ms, source=row.source, trade_id=row.trade_id, price=row.price, qty=row.qty, side=row.side, arrival=row.arrival)
+            elif judged == "late":
                 self.seq += 1
                 said = json.dumps({"source": row.source, "symbol": symbol, "trade_id": row.trade_id, "price": f"{row.price:f}", "qty": f"{row.qty:f}", "side": row.side, "ts_ms": row.ts_ms})
-                yield output(kind="late", symbol=symbol, time=row.ts_ms, seq=self.seq, payload=said, detail=str(self.watermark), source=row.source)
+                yield output(kind="late", symbol=symbol, time=row.ts_ms, seq=self.seq, payload=said, detail=str(self.watermark), source=row.source, reason=LATE)
         if self.grace is not None:
             now = timerValues.getCurrentProcessingTimeInMs()
             self.watermark = max(self.watermark, now - self.allowed - self.grace)
@@ -179,25 +183,39 @@ def live_candles(trades: DataFrame, allowed_ms: int = ALLOWED_LATENESS_MS, grace
 
 
 def into_store(store: Store):
-    """A foreachBatch function: candles and late trades in one commit, a batch at most once."""
+    """A foreachBatch function: candles, the trade log, dead letters and checkpoints in one commit, a batch at most once."""
 
     def write(rows: DataFrame, batch: int) -> None:
         rows = rows.persist()  # the stateful stage must run once
         try:
             changes = rows.filter("kind = 'candle'").select(*CANDLE.fieldNames(), "seq")
-            letters = rows.filter("kind = 'late'").select("source", F.lit(LATE).alias("reason"), "payload", "detail", F.lit("aggregate").alias("stage"))
+            letters = rows.filter("kind in ('late', 'refused')").select("source", "reason", "payload", "detail", F.lit("aggregate").alias("stage"))
+            accepted = rows.filter("kind = 'trade'").withColumn("ts_ms", F.col("time")).withColumn("ts", F.timestamp_millis("time"))
+            log = store.trades()
+            trades = log.unionByName(not_in_log(accepted.select(*TRADE.fieldNames()), log).select(*TRADE.fieldNames()))
             marks = rows.filter("kind = 'mark'").groupBy("symbol").agg(F.max("time").alias("watermark"))
             old = store.watermarks().join(marks, "symbol", "left_anti")
-            store.commit({"candles": guarded_upsert(store.candles(), changes), "dead_letters": store.dead_letters().unionByName(letters), "checkpoints": old.unionByName(marks)}, batch)
+            store.commit({"candles": guarded_upsert(store.candles(), changes), "trades": trades, "dead_letters": store.dead_letters().unionByName(letters), "checkpoints": old.unionByName(marks)}, batch)
         finally:
             rows.unpersist()
 
     return write
 
 
-def run(trades: DataFrame, store: Store, checkpoint: str, *, allowed_ms: int = ALLOWED_LATENESS_MS, live: bool = True, interval: str = "1 second") -> StreamingQuery:
-    """Start the service: live with the idle clock, or a finite replay of what is there."""
+def refused(rejections: DataFrame) -> DataFrame:
+    """OUTPUT rows of a stream of decoders.rejections_of rows."""
+    given = {"kind": F.lit("refused"), **{c: F.col(c) for c in ("source", "reason", "payload", "detail")}}
+    return rejections.select(*[given.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in (c.split() for c in OUTPUT.split(", "))])
+
+
+def run(trades: DataFrame, store: Store, checkpoint: str, *, rejections: DataFrame | None = None, allowed_ms: int = ALLOWED_LATENESS_MS, live: bool = True, interval: str = "1 second") -> StreamingQuery:
+    """Start the service: live with the idle clock, or a finite replay of what is there.
+
+    ``rejections`` of the same stream are dead-lettered in the commit of their batch.
+    """
     rows = live_candles(trades, allowed_ms, IDLE_GRACE_MS if live else None)
+    if rejections is not None:
+        rows = rows.unionByName(refused(rejections))
     writer = rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(into_store(store))
     return (writer.trigger(processingTime=interval) if live else writer.trigger(availableNow=True)).start()
 

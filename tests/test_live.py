@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import time
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from candlespark.__main__ import main
 from candlespark.operators import dedup, lateness, ohlcv
 from candlespark.schemas import TRADE
 from candlespark.sources.store import Store
@@ -70,3 +73,29 @@ def test_a_quiet_symbol_closes_on_the_clock(spark, session, tmp_path):
         assert store.candles().filter("tf = '1d' and closed").count() == 0
     finally:
         query.stop()
+
+
+def test_verbs_keep_every_row(spark, tmp_path, monkeypatch):
+    """What ingest and aggregate refuse is dead-lettered, what they accept is logged, once."""
+    at = f"file://{tmp_path}"
+    for name in ("store", "stream", "checkpoint"):
+        monkeypatch.setenv(f"CANDLES_{name.upper()}", f"{at}/{name}")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    now = int(time.time() * 1000)
+    event = {"e": "trade", "s": "BTCUSDT", "t": 12, "p": "63310.01", "q": "0.00079", "T": 1727172000124, "m": True}
+    lines = [json.dumps(event), json.dumps(event | {"t": 13}), json.dumps(event | {"t": 14, "T": now + 86_400_000}), "{"]
+    spark.createDataFrame([(line,) for line in lines], "raw string").coalesce(1).write.text(f"{at}/frames")
+    try:
+        main(["ingest", "binance", f"{at}/frames"])
+        store = Store(spark, f"{at}/store")
+        letters = lambda: sorted((r.reason, r.stage) for r in store.dead_letters().collect())
+        assert letters() == [("future", "ingest"), ("malformed", "ingest")]
+        spark.createDataFrame([("BTC-USDT", "junk")], "symbol string, value string").write.mode("append").partitionBy("symbol").text(f"{at}/stream")
+        for _ in range(2):
+            main(["aggregate", "--once"])
+            assert letters() == [("future", "ingest"), ("malformed", "aggregate"), ("malformed", "ingest")]
+            assert sorted((r.trade_id, r.ts_ms, r.price) for r in store.trades().collect()) == [(t, 1727172000124, Decimal("63310.01")) for t in ("12", "13")]
+            assert store.candles().filter("tf = '1m'").select("trades").collect()[0][0] == 2
+    finally:
+        spark.conf.set(provider, before)
