@@ -45,7 +45,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, rep
     return rows.select("source", "rank", "source_size", target.alias("target"))
 
 
-def mix_sources(
+def _cut_queue(
     docs: DataFrame,
     weights: Sequence[float] = (5, 2, 1),
     share: float = 1.5,
@@ -54,15 +54,7 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, copies, __doc_file, __doc_row.
-
-    The size of a document is its words (null: 0). It is taken whole, ``copies``
-    times, from 0 to ``repeats``; ``taken`` are its words times that. The order
-    comes from a hash of identifier and size, so that reruns agree; rows with
-    both equal are interchangeable and ordered by their place in the files. A
-    null source is a source of its own. Documents without words are never
-    taken. An empty table gives no rows. Other columns are ignored.
-    """
+    """The queue with the copies taken: doc_id, size, source_size, target, rank, upto, copies, __doc_file, __doc_row."""
     at = located(docs)
     sized = at.select(
         F.col(id_col).alias("doc_id"),
@@ -102,9 +94,33 @@ def mix_sources(
         else:
             taken = [(finish(c) < F.lit(end["finish"])) | ((finish(c) == F.lit(end["finish"])) & (F.col("rank") <= F.lit(end["rank"]))) for c in range(repeats)]
         copies = F.when(F.col("size") > 0, sum((t.cast("int") for t in taken), F.lit(0))).otherwise(0)
-    return queued.select("doc_id", "size", "source_size", "target", copies.cast("bigint").alias("copies"), "__doc_file", "__doc_row").select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "__doc_file", "__doc_row"
-    )
+    return queued.select("doc_id", "size", "source_size", "target", "rank", "upto", copies.cast("bigint").alias("copies"), "__doc_file", "__doc_row")
+
+
+def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, repeats: int = 2, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken, copies, __doc_file, __doc_row.
+
+    The size of a document is its words (null: 0). It is taken whole, ``copies``
+    times, from 0 to ``repeats``; ``taken`` are its words times that. The order
+    comes from a hash of identifier and size, so that reruns agree; rows with
+    both equal are interchangeable and ordered by their place in the files. A
+    null source is a source of its own. Documents without words are never
+    taken. An empty table gives no rows. Other columns are ignored.
+    """
+    cut = _cut_queue(docs, weights, share, repeats, id_col, text_col, source_col)
+    return cut.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "__doc_file", "__doc_row")
+
+
+def mix_order(docs: DataFrame, **options) -> DataFrame:
+    """The taken entries in fair-queueing order: doc_id, size, copy (from 0), finish, rank, __doc_file, __doc_row.
+
+    Sorted by finish time, then rank, over range partitions; the options are
+    those of mix_sources.
+    """
+    copy = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)).alias("copy")
+    entries = _cut_queue(docs, **options).filter("copies > 0").select("*", copy)
+    finish = (F.col("source_size") * F.col("copy") + F.col("upto")).cast("double") / F.col("target")
+    return entries.select("doc_id", "size", "copy", finish.alias("finish"), "rank", "__doc_file", "__doc_row").orderBy("finish", "rank")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:

@@ -138,3 +138,18 @@ def test_mix_comes_near_targets(docs, rows):
     assert pick(again) == pick(got)
     copies = mixing.mixed_documents(docs)
     assert copies.count() == sum(r.copies for r in got) and copies.columns == docs.columns
+
+
+def test_the_mix_in_its_order(docs):
+    got = mixing.mix_order(docs).collect()
+    assert [(r.finish, r.rank) for r in got] == sorted((r.finish, r.rank) for r in got)
+    copies = Counter((r.doc_id, r.size) for r in got)
+    cut = Counter()
+    for r in mixing.mix_sources(docs).collect():
+        cut[r.doc_id, r.size] += r.copies
+    assert copies == +cut
+    upto = {}
+    for r in got:
+        # finish times rise within a source, first all documents, then all again
+        assert upto.get(r.rank, (0, 0.0)) <= (r.copy, r.finish)
+        upto[r.rank] = (r.copy, r.finish)
