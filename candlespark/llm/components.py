@@ -1,4 +1,4 @@
-"""Connected components of a distributed edge list."""
+"""Connected components of nodes that share keys, by contraction."""
 
 from __future__ import annotations
 
@@ -8,21 +8,30 @@ from pyspark.sql import functions as F
 from candlespark.llm.staging import staged
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root) for every node of the undirected edges; root is the least node reachable.
+def connected_components(rows: DataFrame, key: str = "key", node: str = "node") -> DataFrame:
+    """(node, root) for every node of ``rows`` that has a key in common with another.
 
-    Every round takes the least root among a node's neighbours and then follows
-    that root's own root, so chains halve; each round is written and the next
-    reads it. Sums are partial before a shuffle, joins on a hot root are split.
+    Nodes are connected that have a key in common; root is the least node
+    reachable. No edge between two nodes is ever made. Every round takes the
+    least label of each key, moves a label to the least one that it meets (and
+    on to where that one moves) and contracts the rows to their distinct (key,
+    label). Keys whose rows agree drop out, so a group of copies that share many
+    keys is down to a few rows after the first round. Sums are partial before a
+    shuffle; joins meet one row for each key or label, and a hot one is split.
     """
-    both = staged(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).unionByName(edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).filter("u != v").distinct(), "cc-edges")
-    roots = staged(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("root")), "cc-roots")
+    held = rows.select(F.col(key).alias("key"), F.col(node).alias("label"))
+    names = None
     while True:
-        near = both.join(roots.select(F.col("node").alias("v"), "root"), "v").groupBy("u").agg(F.min("root").alias("near"))
-        lower = roots.join(near.withColumnRenamed("u", "node"), "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        lower = staged(lower, "cc-lower")
-        up = lower.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        jumped = staged(lower.join(up, "root", "left").select("node", "old", F.coalesce("next", "root").alias("root")), "cc-roots")
-        roots = jumped.select("node", "root")
-        if jumped.filter("old != root").isEmpty():
-            return roots
+        spans = held.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most").select("key", "least")
+        live = staged(held.join(spans, "key"), "cc-live")
+        if live.isEmpty():
+            return rows.select(F.col(node).alias("node"), F.col(node).alias("root")).limit(0) if names is None else staged(names, "cc-names")
+        near = live.groupBy("label").agg(F.min("least").alias("up"))
+        onward = near.select(F.col("label").alias("up"), F.col("up").alias("next"))
+        moved = staged(near.join(onward, "up", "left").select("label", F.coalesce("next", "up").alias("up")), "cc-moved")
+        if names is None:
+            names = moved.select(F.col("label").alias("node"), F.col("up").alias("root"))
+        else:
+            onto = moved.select(F.col("label").alias("root"), "up")
+            names = names.join(onto, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
+        held = live.select("key", "label").join(moved, "label").select("key", F.col("up").alias("label")).distinct()

@@ -6,11 +6,18 @@ symmetric difference, which is a metric too: the shingle universe is cut by hash
 into m classes, and two sets within the join radius differ in at most d
 shingles, so they agree on at least m - d classes. A document therefore enters
 the regions of its d + 1 rarest class contents, which holds for every linked
-pair one region in common. What meets in a region is gathered, and there pivots
-make Voronoi regions under the Jaccard distance: a document joins the region of
-its nearest pivot and every region whose pivot is within twice the radius of
-that, regions are joined recursively, and the last ones pair by pair.
-Nothing is sampled or capped; the result is exact up to 64-bit shingle hashes.
+pair one region in common; regions that share a document are one.
+
+In a region pivots part what meets there. Every document goes to the Voronoi
+cell of its nearest pivot, cut at the join radius, so that a cell's documents
+are linked with its pivot. Two documents of different components can only link
+if one of them lies within twice the radius of the other's pivot (the triangle
+inequality), so a cell's window takes those in and meets the cell's documents.
+Documents in no cell make the region that is joined next, with new pivots,
+until a region is small enough to be joined pair by pair. All regions do this
+at once, one Spark round after the other; a round deals a region in chunks, so
+no task sees a whole one. Nothing is sampled or capped; the result is exact up
+to 64-bit shingle hashes.
 """
 
 from __future__ import annotations
@@ -20,7 +27,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -28,12 +36,12 @@ from candlespark.llm import textkernel as K
 from candlespark.llm.components import connected_components
 from candlespark.llm.staging import from_files, located, release, staged
 
-#: A region that one task joins in memory: documents, and shingles in all.
-REGION_DOCS, REGION_SHINGLES = 2048, 4_000_000
-#: Rows of (node, place) that are sent to all executors rather than shuffled with the texts.
-BROADCAST_ROWS = 200_000
-#: Documents that are joined pair by pair, and pivots of a larger region.
-LEAF, PIVOTS = 192, 8
+#: A region that one task joins pair by pair: documents, and shingles in all.
+LEAF_DOCS, LEAF_SHINGLES = 64, 2_000_000
+#: Documents of a larger region that one task compares with its pivots.
+CHUNK_DOCS = 384
+#: Pivots of a region in the first round, by how much they grow in each round, and their most.
+PIVOTS, GROWTH, MOST_PIVOTS = 16, 4, 1024
 
 PROFILE = "doc_id long, __doc_file string, __doc_row long, n_shingles long, ka long, kb long, keep0 int, m0 int, sigs0 array<long>, keep1 int, m1 int, sigs1 array<long>"
 
@@ -127,7 +135,7 @@ def profiles(rule: Rule):
 
 
 def sets_of(rule: Rule):
-    """Arrow batches of (region, node, text) to (region, node, shingles)."""
+    """Arrow batches of (region, node, score, text) to (region, node, score, n, shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,16 +146,18 @@ def sets_of(rule: Rule):
                 row, h = K.shingles(w, n, rule.words)
                 ends = np.searchsorted(row, np.arange(n + 1))
                 blobs = pa.array([h[ends[i] : ends[i + 1]].tobytes() for i in range(n)], type=pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("region").slice(lo, n), batch.column("node").slice(lo, n), blobs], names=["region", "node", "shingles"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, n) for c in ("region", "node", "score")), pa.array(np.diff(ends)), blobs], names=["region", "node", "score", "n", "shingles"])
 
     return run
 
 
-class RegionJoin:
-    """Joins the sets of one region and keeps their components."""
+class Sets:
+    """Shingle sets held in one task: their distances, and the components of those that link."""
 
-    def __init__(self, sets: list[np.ndarray], rule: Rule) -> None:
-        self.rule, self.sizes = rule, np.array([len(s) for s in sets], dtype=np.int64)
+    def __init__(self, nodes: np.ndarray, blobs: pa.Array, rule: Rule) -> None:
+        sets = [np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in blobs]
+        self.nodes, self.rule, self.sizes = nodes, rule, np.array([len(s) for s in sets], dtype=np.int64)
+        #: Of each set the place of one that is linked with it, in the end that of its component's least node.
         self.parent = np.arange(len(sets))
         values = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
         _, codes, counts = np.unique(values, return_inverse=True, return_counts=True)
@@ -165,7 +175,8 @@ class RegionJoin:
     def union(self, i: int, j: int) -> None:
         a, b = self.root(i), self.root(j)
         if a != b:
-            self.parent[max(a, b)] = min(a, b)
+            low, high = (a, b) if self.nodes[a] <= self.nodes[b] else (b, a)
+            self.parent[high] = low
 
     def roots(self, members: np.ndarray) -> np.ndarray:
         return np.array([self.root(int(i)) for i in members], dtype=np.int64)
@@ -180,11 +191,11 @@ class RegionJoin:
         (ra, ca), (rb, cb) = self._flat(left), self._flat(right)
         used = np.intersect1d(ca, cb)
         out = np.zeros((len(left), len(right)), dtype=np.float64)
-        ka, kb = np.searchsorted(used, ca), np.searchsorted(used, cb)
         if not len(used):
             return out.astype(np.int64)
-        oka = (ka < len(used)) & (used[np.minimum(ka, len(used) - 1)] == ca)
-        okb = (kb < len(used)) & (used[np.minimum(kb, len(used) - 1)] == cb)
+        ka, kb = np.searchsorted(used, ca), np.searchsorted(used, cb)
+        oka = used[np.minimum(ka, len(used) - 1)] == ca
+        okb = used[np.minimum(kb, len(used) - 1)] == cb
         ra, ka, rb, kb = ra[oka], ka[oka], rb[okb], kb[okb]
         for lo in range(0, len(used), 4096):
             width = min(4096, len(used) - lo)
@@ -196,63 +207,194 @@ class RegionJoin:
             out += a @ b.T
         return np.rint(out).astype(np.int64)
 
-    def link(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Join all pairs of left and right; their distances."""
+    def link(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Join all pairs of left and right: (which link, their distances)."""
+        if not (len(left) and len(right)):
+            return np.zeros((len(left), len(right)), dtype=bool), np.zeros((len(left), len(right)))
         shared = self.shared(left, right)
         a, b = self.sizes[left][:, None], self.sizes[right][None, :]
-        for i, j in np.argwhere(self.rule.linked(shared, a, b)):
-            self.union(int(left[i]), int(right[j]))
-        return 1 - shared / np.maximum(a + b - shared, 1)
-
-    def join(self, members: np.ndarray) -> None:
-        if len(members) <= LEAF:
-            self.link(members, members)
-            return
-        # a pivot of each component first: what is already joined needs no second pivot
-        _, first = np.unique(self.roots(members), return_index=True)
-        order = np.concatenate([np.sort(first), np.setdiff1d(np.arange(len(members)), first)])[:PIVOTS]
-        pivots = members[order]
-        far = self.link(members, pivots)
-        nearest = far.min(axis=1)
-        within = far <= (nearest + 2 * self.rule.radius + 1e-9)[:, None]
-        regions = [members[within[:, q]] for q in range(len(pivots)) if (far.argmin(axis=1) == q).any()]
-        if max(map(len, regions)) <= 0.7 * len(members):
-            for region in regions:
-                if len(set(self.roots(region).tolist())) > 1:
-                    self.join(region)
-            return
-        # the windows hold nearly all: tiles, without those that are one component already
-        tiles = [members[i : i + LEAF] for i in range(0, len(members), LEAF)]
-        spans = [(far[i : i + LEAF].min(axis=0), far[i : i + LEAF].max(axis=0)) for i in range(0, len(members), LEAF)]
-        for i, left in enumerate(tiles):
-            for j in range(i, len(tiles)):
-                apart = np.maximum(spans[i][0] - spans[j][1], spans[j][0] - spans[i][1]).max() > self.rule.radius + 1e-9
-                if apart or len(set(self.roots(np.concatenate([left, tiles[j]])).tolist())) == 1:
-                    continue
-                self.link(left, tiles[j])
-
-
-def joined_region(rule: Rule):
-    """One region's (node, shingles) to (a, b): every node and the least node of its component there."""
+        linked = self.rule.linked(shared, a, b)
+        open_ = linked
+        while open_.any():
+            # each row's first link, then what these leave apart
+            for i in np.flatnonzero(open_.any(axis=1)):
+                self.union(int(left[i]), int(right[open_[i].argmax()]))
+            open_ = linked & (self.roots(left)[:, None] != self.roots(right)[None, :])
+        return linked, 1 - shared / np.maximum(a + b - shared, 1)
+
+
+CHUNK = "region long, node long, root long, pivot boolean, home long, at double, cells array<long>, afar array<double>, score double, n long, shingles binary"
+
+
+def measured(rule: Rule):
+    """A chunk of a region with all its pivots to CHUNK rows, one for each document and pivot.
+
+    ``root`` is the least node linked with it here, ``home`` the nearest pivot if
+    within the radius, ``at`` its distance; ``cells`` are the pivots whose windows
+    take the document in, ``afar`` their distances. Of two cells only the one of
+    the lesser pivot takes in documents of the other.
+    """
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("node")
         nodes = table.column("node").to_numpy()
-        order = np.argsort(nodes, kind="stable")
-        blobs = table.column("shingles").combine_chunks()
-        sets = [np.frombuffer(blobs[int(i)].as_buffer(), dtype=np.uint64) for i in order]
-        region = RegionJoin(sets, rule)
-        region.join(np.arange(len(sets)))
-        return pa.table({"a": nodes[order], "b": nodes[order][region.roots(np.arange(len(sets)))]})
+        pivot = table.column("pivot").to_numpy(zero_copy_only=False)
+        sets = Sets(nodes, table.column("shingles").combine_chunks(), rule)
+        pivots, others = np.flatnonzero(pivot), np.flatnonzero(~pivot)
+        sets.link(pivots, pivots)
+        linked, far = sets.link(others, pivots)
+        roots = sets.roots(np.arange(len(nodes)))
+        near = far.argmin(axis=1) if len(others) and len(pivots) else np.zeros(len(others), dtype=np.int64)
+        has = linked.any(axis=1)
+        before = np.arange(len(pivots))[None, :] < np.where(has, near, len(pivots))[:, None]
+        window = ~linked & before & (far <= 2 * rule.radius + 1e-9) & (roots[others][:, None] != roots[pivots][None, :])
+        home, at = np.full(len(nodes), -1, dtype=np.int64), np.zeros(len(nodes))
+        if len(pivots):
+            home[others[has]] = nodes[pivots[near[has]]]
+            at[others[has]] = far[np.flatnonzero(has), near[has]]
+        counts = np.zeros(len(nodes) + 1, dtype=np.int64)
+        counts[others + 1] = window.sum(axis=1)
+        offsets, (which, cell) = pa.array(np.cumsum(counts).astype(np.int32)), np.nonzero(window)
+        none = pa.array(home < 0)
+        columns = {
+            "region": table.column("region"),
+            "node": table.column("node"),
+            "root": pa.array(nodes[roots]),
+            "pivot": table.column("pivot"),
+            "home": pa.compute.if_else(none, pa.scalar(None, pa.int64()), pa.array(home)),
+            "at": pa.array(at),
+            "cells": pa.ListArray.from_arrays(offsets, pa.array(nodes[pivots][cell])),
+            "afar": pa.ListArray.from_arrays(offsets, pa.array(far[which, cell])),
+            **{c: table.column(c) for c in ("score", "n", "shingles")},
+        }
+        return pa.table(columns)
 
     return run
 
 
-def candidate_stars(seen: DataFrame, copies: DataFrame) -> DataFrame:
-    """(a, b): in each region of class contents, its least node and every other one.
+def joined_leaf(rule: Rule):
+    """A leaf's (node, side, shingles) to (node, root): every node and the least node of its component there.
+
+    Without a side all pairs are joined, otherwise those of the two sides.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("node")
+        nodes, side = table.column("node").to_numpy(), table.column("side").to_numpy()
+        sets = Sets(nodes, table.column("shingles").combine_chunks(), rule)
+        everything = np.arange(len(nodes))
+        if side.any():
+            sets.link(everything[side == 1], everything[side == 2])
+        else:
+            sets.link(everything, everything)
+        return pa.table({"node": nodes, "root": nodes[sets.roots(everything)]})
+
+    return run
+
+
+def spread(docs: Column, shingles: Column, most_docs: int) -> Column:
+    """Parts of about ``most_docs`` documents and LEAF_SHINGLES shingles each."""
+    return F.greatest(F.lit(1), F.ceil(docs / F.lit(most_docs)), F.ceil(shingles / F.lit(LEAF_SHINGLES))).cast("int")
+
+
+def voronoi_round(regions: DataFrame, sizes: DataFrame, rule: Rule, turn: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One round for all large regions: (links (node, root), leaves, what is left of the regions).
+
+    ``regions`` are (region, node, score, n, shingles), ``sizes`` one row (region,
+    docs, shingles, hub) for each. The hub, whose contents most others share, is
+    always a pivot; the other pivots are drawn by hash. Each pivot is compared
+    with its whole region, so none is left afterwards.
+    """
+    most = F.greatest(F.lit(1), F.least(F.lit(min(MOST_PIVOTS, PIVOTS * GROWTH**turn)), F.floor(F.lit(LEAF_SHINGLES) * F.col("docs") / F.col("all_shingles"))))
+    parts = sizes.select("region", "hub", (most / F.col("docs")).alias("share"), spread(F.col("docs"), F.col("all_shingles"), CHUNK_DOCS).alias("chunks"))
+    drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 30)) < F.col("share") * F.lit(float(1 << 30))
+    dealt = regions.join(parts, "region").withColumn("pivot", (F.col("node") == F.col("hub")) | drawn)
+    everywhere = F.sequence(F.lit(0), F.col("chunks") - 1)
+    own = F.array(F.pmod(F.xxhash64("node", F.lit(~turn)), F.col("chunks")).cast("int"))
+    dealt = dealt.select("region", "node", "score", "n", "shingles", "pivot", F.explode(F.when(F.col("pivot"), everywhere).otherwise(own)).alias("chunk"))
+    out = staged(dealt.groupBy("region", "chunk").applyInArrow(measured(rule), CHUNK), "jaccard-round")
+    links = out.filter("node != root").select("node", "root")
+    left = out.filter("not pivot and home is null").select("region", "node", "score", "n", "shingles")
+
+    # windows: a cell's documents meet those that may link with one of them
+    cores = out.filter("home is not null").groupBy(F.col("home").alias("cell")).agg(F.max("at").alias("cover"), F.count(F.lit(1)).alias("docs"), F.sum("n").alias("all_n"))
+    seen = out.filter(F.size("cells") > 0).select("node", "n", "shingles", F.explode(F.arrays_zip("cells", "afar")).alias("c"))
+    window = seen.select("node", "n", "shingles", F.col("c.cells").alias("cell"), F.col("c.afar").alias("afar")).join(cores, "cell").filter(F.col("afar") <= F.col("cover") + F.lit(rule.radius + 1e-9))
+    plan = window.groupBy("cell").agg(F.first("docs").alias("docs"), F.first("all_n").alias("all_n"), F.count(F.lit(1)).alias("guests"), F.sum("n").alias("guest_n"))
+    plan = staged(plan.select("cell", spread(F.col("docs"), F.col("all_n"), CHUNK_DOCS).alias("chunks"), spread(F.col("guests"), F.col("guest_n"), CHUNK_DOCS).alias("blocks")), "jaccard-windows")
+    if plan.isEmpty():
+        return links, None, left
+    core = out.filter("home is not null").select(F.col("home").alias("cell"), "node", "shingles").join(plan, "cell")
+    core = core.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    guests = window.select("cell", "node", "shingles").join(plan, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    leaf = F.concat_ws(":", F.lit("w"), "cell", "chunk", "block").alias("leaf")
+    return links, core.select(leaf, "node", F.lit(1).alias("side"), "shingles").unionByName(guests.select(leaf, "node", F.lit(2).alias("side"), "shingles")), left
+
+
+def region_sizes(regions: DataFrame) -> DataFrame:
+    """(region, docs, all_shingles, hub) of regions of more than one document."""
+    hub = F.max_by("node", F.struct("score", F.xxhash64("node")))
+    return regions.groupBy("region").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("all_shingles"), hub.alias("hub")).filter("docs > 1")
+
+
+def is_large() -> Column:
+    return (F.col("docs") > F.lit(LEAF_DOCS)) | (F.col("all_shingles") > F.lit(LEAF_SHINGLES))
+
+
+def components_of_regions(active: DataFrame, texts: DataFrame, rule: Rule, stats: dict | None = None) -> DataFrame:
+    """(node, root) of the documents of candidate regions, by their exact links.
+
+    ``active`` are (region, node, score, n, __doc_file, __doc_row), ``texts``
+    the texts by place. Small regions are leaves at once; the others go through
+    rounds of pivots until they are small.
+    """
+    sizes = staged(region_sizes(active), "jaccard-sizes")
+    large = sizes.filter(is_large())
+
+    def sets(chosen: DataFrame) -> DataFrame:
+        wanted = texts.join(chosen.select("region", "node", "score", "__doc_file", "__doc_row"), ["__doc_file", "__doc_row"])
+        return wanted.select("region", "node", "score", "text").mapInArrow(sets_of(rule), "region long, node long, score double, n long, shingles binary")
+
+    def leaf(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(F.concat_ws(":", F.lit(name), "region").alias("leaf"), "node", F.lit(0).alias("side"), "shingles")
+
+    small = active.join(sizes.filter(~is_large()).select("region"), "region")
+    leaves = [leaf(sets(small), "r")]
+    links: list[DataFrame] = []
+    turn = 0
+    if not large.isEmpty():
+        regions = staged(sets(active.join(large.select("region"), "region")), "jaccard-sets")
+        while True:
+            if stats is not None:
+                stats.setdefault("rounds", []).append(large.agg(F.count(F.lit(1)).alias("regions"), F.sum("docs").alias("docs"), F.max("docs").alias("largest")).first().asDict())
+            edges, windows, left = voronoi_round(regions, large, rule, turn)
+            links.append(edges)
+            leaves += [windows] if windows is not None else []
+            sizes = staged(region_sizes(left), "jaccard-sizes")
+            large = sizes.filter(is_large())
+            leaves.append(leaf(left.join(sizes.filter(~is_large()).select("region"), "region"), f"t{turn}"))
+            if large.isEmpty():
+                break
+            regions, turn = staged(left.join(large.select("region"), "region"), "jaccard-sets"), turn + 1
+    together = leaves[0]
+    for more in leaves[1:]:
+        together = together.unionByName(more)
+    stars = staged(together.groupBy("leaf").applyInArrow(joined_leaf(rule), "node long, root long"), "jaccard-links")
+    if not links:
+        return stars
+    for more in links:
+        stars = stars.unionByName(more)
+    stars = stars.filter("node != root")
+    return connected_components(stars.select(F.col("root").alias("key"), "node").unionByName(stars.select(F.col("root").alias("key"), F.col("root").alias("node"))))
+
+
+def shared_contents(seen: DataFrame, copies: DataFrame) -> DataFrame:
+    """(sig, node, score): the contents through whose regions a node must go.
 
     ``copies`` are the nodes of sets that another node stands for. A content's
     rows carry no more than the node and its band; what else the choice needs is
-    joined to the few that a second document shares.
+    joined to the few that a second document shares. ``score`` is how often the
+    node's contents occur, on average.
     """
     chosen = seen.select("node", "sigs0", "sigs1").join(copies, "node", "left_anti")
     cells = chosen.select((F.col("node") * 2).alias("owner"), F.explode("sigs0").alias("sig")).unionByName(chosen.select((F.col("node") * 2 + 1).alias("owner"), F.explode("sigs1").alias("sig")))
@@ -264,12 +406,12 @@ def candidate_stars(seen: DataFrame, copies: DataFrame) -> DataFrame:
     own = Window.partitionBy("owner")
     # contents that no other document has come first, then the others from the rarest
     at = F.col("m") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("often", "sig"))
-    prefix = staged(shared.join(limits, "owner").withColumn("at", at).filter("at <= keep").select("sig", F.shiftright("owner", 1).alias("node")), "jaccard-prefix")
-    least = prefix.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig", "a")
-    return prefix.join(least, "sig").filter("node != a").select("a", F.col("node").alias("b")).distinct()
+    score = F.sum("often").over(own) / F.col("m")
+    placed = shared.join(limits, "owner").withColumn("at", at).withColumn("score", score).filter("at <= keep")
+    return placed.select("sig", F.shiftright("owner", 1).alias("node"), "score")
 
 
-def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text", stats: dict | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, __doc_file, __doc_row.
 
     component_id is the smallest identifier reachable by links of at least the
@@ -278,7 +420,9 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     than a shingle has its whole sequence as one; one without words or with a null
     text has none, links with nothing and is kept. A null identifier is never a
     component's unless all of its documents have none. Equal sets, repeated rows
-    among them, are one node. Other columns are ignored, whatever their names.
+    among them, are one node. An empty table gives no rows. Other columns are
+    ignored, whatever their names. ``stats``, if given, gets ``rounds``: of each
+    round of pivots its regions, their documents and the largest one's.
     """
     spark = docs.sparkSession
     source = located(docs if {id_col, text_col} == {"doc_id", "text"} else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
@@ -288,27 +432,14 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     nodes = staged(seen.filter("n_shingles > 0").groupBy("ka", "kb", "n_shingles").agg(place), "jaccard-nodes")
     alike = ["ka", "kb", "n_shingles"]
     copies = staged(seen.filter("n_shingles > 0").select("node", *alike).join(nodes, alike).filter("node != first.node").select("node"), "jaccard-copies")
-    regions = connected_components(candidate_stars(seen, copies)).withColumnRenamed("root", "region")
-
-    sized = staged(regions.join(seen.select("node", "n_shingles", F.col("__doc_file").alias("file"), F.col("__doc_row").alias("row")), "node"), "jaccard-active")
-    weight = sized.groupBy("region").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("shingles"))
-    tiles = F.greatest(F.lit(1), F.ceil(F.col("docs") / (REGION_DOCS // 2)), F.ceil(F.col("shingles") / (REGION_SHINGLES // 2)))
-    large = staged(weight.filter((F.col("docs") > REGION_DOCS) | (F.col("shingles") > REGION_SHINGLES)).select("region", tiles.cast("int").alias("tiles")), "jaccard-large")
-    split = not large.isEmpty()
-    if split:
-        # each document meets those of every tile: one task for each pair of tiles
-        tile = F.pmod(F.xxhash64("node"), F.col("tiles"))
-        placed = sized.join(large, "region", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1))).withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        parts = placed.select("node", "file", "row", F.concat_ws(":", "region", F.least("tile", "other"), F.greatest("tile", "other")).alias("region"))
-    else:
-        parts = sized.select("node", "file", "row", F.col("region").cast("string").alias("region"))
-    few = sized.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    wanted = parts.groupBy("file", "row", "node").agg(F.collect_set("region").alias("regions")) if split else parts.select("file", "row", "node", F.array("region").alias("regions"))
-    wanted = wanted.withColumnsRenamed({"file": "__doc_file", "row": "__doc_row"})
-    texts = source.select("text", "__doc_file", "__doc_row").join(F.broadcast(wanted) if few else wanted, ["__doc_file", "__doc_row"])
-    sets = texts.select(F.explode("regions").alias("region"), "node", "text").mapInArrow(sets_of(rule), "region string, node long, shingles binary")
-    stars = staged(sets.groupBy("region").applyInArrow(joined_region(rule), "a long, b long"), "jaccard-links")
-    roots = connected_components(stars) if split else stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    contents = staged(shared_contents(seen, copies), "jaccard-contents")
+    regions = connected_components(contents, "sig", "node")
+    release(spark)
+
+    scores = contents.groupBy("node").agg(F.max("score").alias("score"))
+    placed = regions.join(scores, "node").join(seen.select("node", F.col("n_shingles").alias("n"), "__doc_file", "__doc_row"), "node")
+    active = staged(placed.select(F.col("root").alias("region"), "node", "score", "n", "__doc_file", "__doc_row"), "jaccard-active")
+    roots = components_of_regions(active, source.select("text", "__doc_file", "__doc_row"), rule, stats)
 
     named = nodes.select(F.col("first.node").alias("node"), *alike, "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = staged(named.select(*alike, "root", "first"), "jaccard-named")

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from candlespark.llm import exact_dedup, jaccard_join, mixing
+from candlespark.llm.components import connected_components
 from tests.llm import cases
 
 
@@ -72,34 +75,94 @@ def test_jaccard_components_match_brute_force(docs, rows, n, num):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter((r[0], len(cases.shingles(r[1], n)), expected[i]) for i, r in enumerate(rows))
 
 
-def test_regions_split_into_tiles_lose_nothing(docs, rows, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "REGION_DOCS", 8)
-    monkeypatch.setattr(jaccard_join, "LEAF", 4)
-    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
+@pytest.mark.parametrize(("n", "num"), [(3, 90), (5, 80), (1, 70)])
+def test_rounds_of_pivots_lose_nothing(docs, rows, monkeypatch, n, num):
+    """Leaves, chunks and pivots so few that every region takes rounds, windows and many chunks."""
+    for name, value in {"LEAF_DOCS": 3, "CHUNK_DOCS": 5, "PIVOTS": 2, "GROWTH": 1}.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    stats = {}
+    got = jaccard_join.jaccard_components(docs, jaccard_join.Rule(n, num, 100), stats=stats).collect()
+    expected = cases.components(rows, n, num)
+    assert Counter((r.doc_id, r.component_id) for r in got) == Counter((r[0], expected[i]) for i, r in enumerate(rows))
+    assert stats["rounds"]
+
+
+def test_very_long_texts_take_rounds_of_their_own(docs, rows, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LEAF_SHINGLES", 300)
     got = jaccard_join.jaccard_components(docs, jaccard_join.Rule(3, 90, 100)).collect()
     expected = cases.components(rows, 3, 90)
     assert Counter((r.doc_id, r.component_id) for r in got) == Counter((r[0], expected[i]) for i, r in enumerate(rows))
 
 
-def test_voronoi_recursion_joins_exactly():
-    """Clusters far apart fall into regions of their own; links stay within them."""
-    import numpy as np
-
-    rng = np.random.default_rng(3)
-    sets, truth = [], []
-    for cluster in range(40):
-        base = rng.choice(1 << 40, 60, replace=False).astype(np.uint64)
-        for _ in range(20):
-            own = base.copy()
-            own[rng.choice(60, 2, replace=False)] = rng.choice(1 << 40, 2).astype(np.uint64)
-            sets.append(np.unique(own))
-            truth.append(cluster)
-    region = jaccard_join.RegionJoin(sets, jaccard_join.Rule(5, 80, 100))
-    region.join(np.arange(len(sets)))
-    roots = region.roots(np.arange(len(sets)))
-    plain = jaccard_join.RegionJoin(sets, jaccard_join.Rule(5, 80, 100))
-    plain.link(np.arange(len(sets)), np.arange(len(sets)))
-    assert (roots == plain.roots(np.arange(len(sets)))).all()
+def drifting_copies(k: int, seed: int) -> list[tuple[int, str]]:
+    """Copies of one text with up to 14 % of its words changed: some link with it, some only with each other, some with none."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(200)]
+    rows, chain = [], list(base)
+    for i in range(k):
+        copy = list(chain if i % 10 == 9 else base)
+        for _ in range(rng.randint(0, 28 if i % 3 else 10)):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
+        if i % 10 == 9:
+            chain = copy  # each is a near copy of the one before
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def test_a_group_of_five_thousand_near_copies(spark):
+    """Pivots part a group that no task holds whole; brute force over 1-word sets agrees."""
+    rows, stats = drifting_copies(5000, 7), {}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs, jaccard_join.Rule(1, 80, 100), stats=stats).collect()}
+    names = {w: i for i, w in enumerate(dict.fromkeys(w for _, t in rows for w in t.split()))}
+    held = np.zeros((len(rows), 201), dtype=np.float32)  # base words, and how many others
+    others = [frozenset(names[w] for w in t.split() if w[0] == "x") for _, t in rows]
+    for i, (_, t) in enumerate(rows):
+        for w in t.split():
+            if w[0] == "w":
+                held[i, int(w[1:])] = 1
+    sizes = held.sum(axis=1) + np.array([len(o) for o in others])
+    by_word = {}
+    for i, o in enumerate(others):
+        for x in o:
+            by_word.setdefault(x, []).append(i)
+    shared = held @ held.T
+    for members in by_word.values():
+        for i in members:
+            for j in members:
+                shared[i, j] += 1
+    linked = 100 * shared >= 80 * (sizes[:, None] + sizes[None, :] - shared)
+    label = np.arange(len(rows))
+    while True:
+        least = np.where(linked, label[None, :], len(rows)).min(axis=1)
+        least = least[least]
+        if (least == label).all():
+            break
+        label = least
+    assert [got[i] for i in range(len(rows))] == label.tolist()
+    assert len(set(label.tolist())) > 1
+    assert stats["rounds"][0]["largest"] > 10 * jaccard_join.LEAF_DOCS
+
+
+def test_components_of_keys(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(150), rng.randrange(400)) for _ in range(350)] + [(1000 + i, 1000 + i + d) for i in range(60) for d in (0, 1)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for key, node in rows:
+        parent[root(("k", key))] = root(("n", node))
+    groups = {}
+    for _, node in rows:
+        groups.setdefault(root(("n", node)), set()).add(node)
+    expected = {node: min(g) for g in groups.values() if len(g) > 1 for node in g}
+    got = connected_components(spark.createDataFrame(rows, "key long, node long"))
+    assert {r.node: r.root for r in got.collect()} == expected
+    assert connected_components(spark.createDataFrame([], "key long, node long")).count() == 0
 
 
 def test_one_document_of_each_component_stays(docs, rows):
