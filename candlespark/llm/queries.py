@@ -97,9 +97,36 @@ SELECT doc_id,
 FROM n
 """
 
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [words]
+    ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i:i + 2])) END AS shingles FROM w
+), sets AS (
+  SELECT min(doc_id) AS node, list_sort(shingles) AS shingles, len(shingles) AS n FROM s GROUP BY 2, 3
+), cells AS (
+  SELECT node, n, unnest(shingles) AS shingle FROM sets
+), pairs AS (
+  SELECT a.node AS x, b.node AS y, a.n AS nx, b.n AS ny, count(*) AS shared FROM cells a JOIN cells b ON a.shingle = b.shingle AND a.node < b.node
+    AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs WHERE 100 * shared >= 90 * (nx + ny - shared) UNION ALL SELECT y, x FROM pairs WHERE 100 * shared >= 90 * (nx + ny - shared)
+), reach AS (
+  SELECT node, node AS met FROM sets WHERE n > 0
+  UNION
+  SELECT r.node, l.y FROM reach r JOIN links l ON l.x = r.met
+), roots AS (
+  SELECT node, min(met) AS root FROM reach GROUP BY node
+)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, coalesce(r.root, s.doc_id) AS component_id
+FROM s LEFT JOIN sets t ON list_sort(s.shingles) = t.shingles AND t.n > 0 LEFT JOIN roots r ON t.node = r.node
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_mix_sources": mixing.ORACLE_SQL,
     "op4_exact_dedup": OP4_SQL,
+    "op6_jaccard_join": OP6_SQL,
     "op9_warc_revisits": OP9_SQL,
     "op10_licence_scan": licences.oracle_sql(),
 }
