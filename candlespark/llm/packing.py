@@ -17,18 +17,6 @@ from candlespark.llm.mixing import WORD
 from candlespark.llm.running import buckets_for, hex_bucket, with_running_total
 from candlespark.llm.staging import staged
 
-#: Lengths up to this are told apart one by one; beyond, to a part in 1024. So the
-#: histogram has at most 65,536 + 1,024 entries for every doubling beyond it.
-EXACT_LENGTHS, STEPS = 1 << 16, 10
-
-
-def coarse(length):
-    """A length as the histogram holds it: exact up to EXACT_LENGTHS, else rounded up."""
-    power = F.greatest(F.lit(0), F.floor(F.log2(F.greatest(length, F.lit(1)))).cast("int") - STEPS)
-    unit = F.expr("bigint(1)") * F.pow(F.lit(2.0), power).cast("bigint")
-    return F.when(length <= EXACT_LENGTHS, length).otherwise(F.ceil(length / unit) * unit).cast("bigint")
-
-
 def boundaries(lengths: Sequence[int], counts: Sequence[int], buckets: int) -> list[int]:
     """Bucket lengths, ascending, that minimise the sum of (bucket length - length) over all documents.
 
@@ -79,16 +67,21 @@ def pack(docs: DataFrame, *, buckets: int = 16, batch_tokens: int = 65_536, id_c
     than the budget is a batch of its own. Only a bucket's last batch may be
     short. The order inside a bucket is a hash of identifier and length, so
     reruns agree on what equal rows get together. Empty and null texts have no
-    tokens and go to the shortest bucket. An empty table gives no rows. Other
-    columns are ignored.
+    tokens and go to the shortest bucket. Rows equal in identifier and length
+    take places next to each other, in either order. An empty table gives no
+    rows. Other columns are ignored.
+
+    Boundaries are optimal for the exact lengths, however long. The histogram
+    comes to the driver: one row for each distinct length, of which a corpus of
+    T tokens has fewer than the square root of 2 T.
     """
     spark = docs.sparkSession
     sized = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint").alias("n_tokens"))
-    sized = staged(sized.withColumn("held", coarse(F.col("n_tokens"))).withColumn("key", F.md5(F.concat_ws(":", F.lit("pack"), F.col("doc_id").cast("string"), F.col("n_tokens").cast("string")))), "pack-lengths")
-    histogram = sized.groupBy("held").agg(F.count(F.lit(1)).alias("n")).orderBy("held").collect()  # bounded, see EXACT_LENGTHS
-    ends = boundaries([r["held"] for r in histogram], [r["n"] for r in histogram], buckets)
+    sized = staged(sized.withColumn("key", F.md5(F.concat_ws(":", F.lit("pack"), F.col("doc_id").cast("string"), F.col("n_tokens").cast("string")))), "pack-lengths")
+    histogram = sized.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).orderBy("n_tokens").collect()
+    ends = boundaries([r["n_tokens"] for r in histogram], [r["n"] for r in histogram], buckets)
     table = spark.createDataFrame([(i, e) for i, e in enumerate(ends)], "bucket int, bucket_tokens bigint")
-    bucket = F.size(F.filter(F.array(*[F.lit(e).cast("bigint") for e in ends]), lambda e: e < F.col("held"))) if ends else F.lit(0)
+    bucket = F.size(F.filter(F.array(*[F.lit(e).cast("bigint") for e in ends]), lambda e: e < F.col("n_tokens"))) if ends else F.lit(0)
     placed = sized.withColumn("bucket", bucket.cast("int")).withColumn("one", F.lit(1).cast("bigint"))
     n = sum(r["n"] for r in histogram)
     placed = placed.withColumn("part", hex_bucket(F.col("key"), buckets_for(n)))
