@@ -24,5 +24,5 @@ def duck():
 def test_query_equals_its_sql(spark, duck, name):
     got, expected = queries.QUERIES[name](spark, SF), duck.sql(queries.ORACLE_SQL[name])
     assert sorted(got.columns) == sorted(expected.columns)
-    rows = sorted(repr(r) for r in got.select(*expected.columns).toPandas().itertuples(index=False, name=None))
-    assert rows == sorted(repr(r) for r in expected.df().itertuples(index=False, name=None))
+    rows = sorted(repr(tuple(r)) for r in got.select(*expected.columns).collect())
+    assert rows == sorted(repr(r) for r in expected.fetchall())
