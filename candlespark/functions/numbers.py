@@ -26,3 +26,20 @@ def notional(price: Column, qty: Column) -> Column:
 def exact(text: Column) -> Column:
     """A number from its text; null where it has more than eight places or ten digits before them."""
     return F.when(text.rlike(r"\A-?[0-9]{1,10}(\.[0-9]{1,8}0*)?\z"), text.try_cast(NUMBER))
+
+
+def _halves(x: Column) -> tuple[Column, Column]:
+    """A double as the sum of two of half its digits (Veltkamp)."""
+    big = x * F.lit(134_217_729.0)
+    high = big - (big - x)
+    return high, x - high
+
+
+def fused(a: Column, b: Column, c: Column) -> Column:
+    """a * b + c of doubles without rounding the product first: its error (Dekker) and the sum's (Knuth) are added back."""
+    product = a * b
+    (a1, a2), (b1, b2) = _halves(a), _halves(b)
+    lost = ((a1 * b1 - product) + a1 * b2 + a2 * b1) + a2 * b2
+    total = product + c
+    part = total - product
+    return total + (((product - (total - part)) + (c - part)) + lost)
