@@ -24,28 +24,25 @@ def not_in_log(trades: DataFrame, log: DataFrame, key: Sequence[str] = KEY) -> D
 def within_last(trades: DataFrame, admitted: int, order: Sequence[str] = ("arrival",)) -> DataFrame:
     """The trades that a window of the last ``admitted`` admitted keys lets pass.
 
-    A hit doesn't move its key to the window's end, so whether a copy passes
-    depends on how many keys were admitted since its key was: a recursion over
-    the whole stream, which runs in one task by its nature. Use it on the
-    overlap after a reconnect; keep_first is the durable guarantee.
+    A key that passes takes the next number; its copies are held back until
+    ``admitted`` numbers have been given since. So whether a copy passes depends
+    on all that passed before it: a recursion over the whole input, which runs in
+    one task by its nature. Use it on the overlap after a reconnect; keep_first
+    and the trade log are the durable guarantee.
     """
-    from collections import OrderedDict
-
+    import numpy as np
     import pandas as pd
 
     columns = trades.columns
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        seen: OrderedDict = OrderedDict()
-        passed = []
         frame = frame.sort_values(list(order), kind="stable")
-        for key in zip(*(frame[k] for k in KEY), strict=True):
-            new = key not in seen
-            passed.append(new)
-            if new:
-                seen[key] = None
-                if len(seen) > admitted:
-                    seen.popitem(last=False)
+        keys = frame.groupby(KEY, sort=False, dropna=False).ngroup().to_numpy()
+        taken = np.full(len(keys), -1 - admitted, dtype=np.int64)  # each key's last number
+        passed, number = np.zeros(len(keys), dtype=bool), 0
+        for place, key in enumerate(keys.tolist()):
+            if number - taken[key] > admitted:
+                passed[place], taken[key], number = True, number, number + 1
         return frame[passed][columns]
 
     return trades.groupBy().applyInPandas(run, trades.schema)

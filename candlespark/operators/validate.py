@@ -13,6 +13,12 @@ from candlespark.schemas import FUTURE, MALFORMED, SIDES, SYMBOL_PATTERN, UNKNOW
 MAX_SKEW_MS = 30_000
 
 
+def once(rows: DataFrame, **values: Column) -> DataFrame:
+    """rows with ``values`` worked out once each: the optimizer copies a projection into all that uses it, but no generator."""
+    held = F.explode(F.array(F.struct(*[value.alias(name) for name, value in values.items()]))).alias("_once")
+    return rows.select("*", held).select(*rows.columns, *[F.col("_once")[name].alias(name) for name in values])
+
+
 def problems() -> Column:
     """What is wrong with a trade's fields, in field order: an array, empty for a good trade."""
     bad = [
@@ -32,22 +38,25 @@ def detail() -> Column:
     return F.concat_ws("; ", problems())
 
 
-def payload() -> Column:
-    """A trade as it goes over the wire, numbers as fixed-point text."""
-    return F.to_json(F.struct("source", "symbol", "trade_id", fixed(F.col("price")).alias("price"), fixed(F.col("qty")).alias("qty"), "side", "ts_ms"))
+def payload(arrival: bool = False) -> Column:
+    """A trade as it goes over the wire, numbers as fixed-point text; between services with its arrival."""
+    own = ["source", "symbol", "trade_id", fixed(F.col("price")).alias("price"), fixed(F.col("qty")).alias("qty"), "side", "ts_ms"]
+    return F.to_json(F.struct(*own, *(["arrival"] if arrival else [])))
 
 
-def gate(trades: DataFrame, symbols: Sequence[str], now_ms: Column | int, max_skew_ms: int = MAX_SKEW_MS) -> DataFrame:
+def gate(trades: DataFrame, symbols: Sequence[str] | None, now_ms: Column | int, max_skew_ms: int = MAX_SKEW_MS) -> DataFrame:
     """Add ``reason``, null for what is admitted, and ``detail``.
 
-    In this order: malformed, unknown symbol, more than ``max_skew_ms`` ahead of ``now_ms``.
+    In this order: malformed, unknown symbol (none is without ``symbols``), more
+    than ``max_skew_ms`` ahead of ``now_ms``. Copies are dropped behind the gate,
+    by dedup and by what takes trades in, and leave no letter.
     """
     now_ms = F.lit(now_ms) if isinstance(now_ms, int) else now_ms
-    wrong = detail()
-    reason = F.when(wrong != "", MALFORMED).when(~F.col("symbol").isin(*symbols), UNKNOWN_SYMBOL).when(F.col("ts_ms") - now_ms > max_skew_ms, FUTURE)
-    marked = trades.withColumn("reason", reason)
-    said = F.when(F.col("reason") == MALFORMED, wrong).when(F.col("reason") == UNKNOWN_SYMBOL, F.col("symbol")).when(F.col("reason") == FUTURE, F.timestamp_millis("ts_ms").cast("string"))
-    return marked.withColumn("detail", said)
+    checked = once(trades, wrong=detail())
+    unknown = F.lit(False) if symbols is None else ~F.col("symbol").isin(*symbols)
+    reason = F.when(F.col("wrong") != "", MALFORMED).when(unknown, UNKNOWN_SYMBOL).when(F.col("ts_ms") - now_ms > max_skew_ms, FUTURE)
+    said = F.when(F.col("reason") == MALFORMED, F.col("wrong")).when(F.col("reason") == UNKNOWN_SYMBOL, F.col("symbol")).when(F.col("reason") == FUTURE, F.timestamp_millis("ts_ms").cast("string"))
+    return checked.withColumn("reason", reason).withColumn("detail", said).drop("wrong")
 
 
 def admitted(gated: DataFrame) -> DataFrame:

@@ -48,5 +48,4 @@ CANDLE = T.StructType(
     ]
 )
 
-REJECTED = T.StructType([T.StructField(c, T.StringType()) for c in ("source", "reason", "payload", "detail")])
 CANDLE_KEY = ["symbol", "tf", "time"]

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlespark.functions.numbers import fixed
+from candlespark.operators.dedup import KEY
 from candlespark.operators.validate import payload
 from candlespark.schemas import TIMEFRAMES
 from candlespark.sources.decoders import wire
@@ -17,10 +19,6 @@ CHANNEL = r"\Acandles:([A-Z0-9]+-[A-Z0-9]+):(1m|5m|1h|1d)\z"
 MAX_CHANNELS = 50
 
 
-def trade_stream(symbol: Column) -> Column:
-    return F.concat(F.lit("trades:"), symbol)
-
-
 def candle_channel(symbol: Column, tf: Column) -> Column:
     return F.concat(F.lit("candles:"), symbol, F.lit(":"), tf)
 
@@ -36,7 +34,7 @@ def channel_parts(channel: Column, symbols: Sequence[str]) -> Column:
     return F.when(channel.rlike(CHANNEL) & found["symbol"].isin(*symbols), found)
 
 
-def snapshot_json(c: str = "") -> Column:
+def snapshot_json() -> Column:
     """A candle as clients get it: numbers as fixed-point text."""
     return F.to_json(F.struct("symbol", "tf", "time", *[fixed(F.col(n)).alias(n) for n in ("open", "high", "low", "close", "volume", "quote_volume")], "trades", "closed"))
 
@@ -58,8 +56,18 @@ def routed(candles: DataFrame, channels: Sequence[str], symbols: Sequence[str])
 
 
 def append_trades(trades: DataFrame, path: str) -> None:
-    """Append trades in wire form, a folder for each symbol's stream."""
-    trades.select("symbol", payload().alias("value")).write.mode("append").partitionBy("symbol").text(path)
+    """Append trades in wire form, with their arrival, a folder for each symbol's stream."""
+    trades.select("symbol", payload(arrival=True).alias("value")).write.mode("append").partitionBy("symbol").text(path)
+
+
+def not_appended(trades: DataFrame, path: str) -> DataFrame:
+    """Trades that the stream at ``path`` doesn't hold, so that reading the same frames again appends nothing."""
+    try:
+        there = trades.sparkSession.read.format("text").load(path)
+    except AnalysisException:  # nothing has been appended
+        return trades
+    key = F.from_json("value", "source string, trade_id string")
+    return trades.join(there.select(key.alias("k")).select("k.*"), KEY, "left_anti").select(*trades.columns)
 
 
 def read_trades(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
