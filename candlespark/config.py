@@ -18,6 +18,7 @@ class Settings:
     dedup_window: int = 100_000
     batch_files: int = 1_000
     repair_lookback_ms: int = 86_400_000
+    repair_every_s: int = 300
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None, prefix: str = "CANDLES_") -> Settings:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,8 @@ from candlespark.functions.timeutil import checked_limit, default_from, settled_
 from candlespark.operators import gaps, lateness, merge, ohlcv
 from candlespark.operators.validate import admitted, dead_letters, gate
 from candlespark.operators.dedup import keep_first
-from candlespark.schemas import CANDLE, LATE, TIMEFRAMES
+from candlespark.schemas import CANDLE, CANDLE_KEY, LATE, TIMEFRAMES
+from candlespark.sources.store import DAY_MS, Store
 
 #: A venue's history: (symbol, half-open ranges of ms, one request each) to 1m candles.
 KlineSource = Callable[[str, list[tuple[int, int]]], DataFrame]
@@ -53,28 +55,35 @@ def settled(marks: DataFrame, symbol: str, now_ms: int) -> int:
     return row.select(settled_before(F.col("watermark"), F.lit(now_ms)).alias("at")).first()["at"]
 
 
-def with_rollups(candles: DataFrame, fetched: DataFrame, symbol: str, start_ms: int, end_ms: int) -> DataFrame:
-    """``candles`` with fetched minutes and the timeframes above rolled up anew.
+def fill(candles: DataFrame, fetched: DataFrame, symbol: str, start_ms: int, end_ms: int) -> DataFrame:
+    """What fetched minutes change: these (guarded) and the timeframes above rolled up anew.
 
     Rollups cover the buckets that [start, end) touches at its left and completes
     at its right, and replace what is there.
     """
-    filled = merge.guarded_upsert(candles, fetched.withColumn("seq", F.lit(0).cast("bigint")))
-    rolled = ohlcv.rollup(filled.filter(F.col("symbol") == symbol), HIGHER, start_ms, end_ms)
-    return merge.overwrite(filled, rolled)
+    minutes = candles.filter((F.col("symbol") == symbol) & (F.col("tf") == "1m"))
+    filled = merge.guarded_upsert(minutes, fetched.select(*candles.columns).withColumn("seq", F.lit(0).cast("bigint")))
+    rolled = ohlcv.rollup(filled, HIGHER, start_ms, end_ms)
+    return filled.join(fetched.select(*CANDLE_KEY), CANDLE_KEY, "left_semi").select(*candles.columns).unionByName(rolled.select(*candles.columns))
 
 
-def backfill(candles: DataFrame, marks: DataFrame, source: KlineSource, symbol: str, start_ms: int, end_ms: int, now_ms: int) -> DataFrame:
-    """``candles`` with a venue's minutes of [start, end), as far as they have settled."""
+def backfill_changes(candles: DataFrame, marks: DataFrame, source: KlineSource, symbol: str, start_ms: int, end_ms: int, now_ms: int) -> DataFrame | None:
+    """The candles that a venue's minutes of [start, end) change, as far as they have settled; None if nothing has."""
     start_ms -= start_ms % TIMEFRAMES["1m"]
     end_ms = min(end_ms - end_ms % TIMEFRAMES["1m"], settled(marks, symbol, now_ms))
     if start_ms >= end_ms:
-        return candles
-    return with_rollups(candles, source(symbol, [(start_ms, end_ms)]).select(*candles.columns), symbol, start_ms, end_ms)
+        return None
+    return fill(candles, source(symbol, [(start_ms, end_ms)]), symbol, start_ms, end_ms)
 
 
-def repair(candles: DataFrame, marks: DataFrame, source: KlineSource, symbol: str, lookback_ms: int, now_ms: int) -> tuple[DataFrame, DataFrame]:
-    """(``candles`` with missing minutes fetched, (symbol, missing, repaired)).
+def backfill(candles: DataFrame, *rest) -> DataFrame:
+    """``candles`` with backfill_changes made."""
+    changes = backfill_changes(candles, *rest)
+    return candles if changes is None else merge.overwrite(candles, changes)
+
+
+def repair_changes(candles: DataFrame, marks: DataFrame, source: KlineSource, symbol: str, lookback_ms: int, now_ms: int) -> tuple[DataFrame | None, DataFrame]:
+    """(the candles that fetching missing minutes changes, None if none is missing, (symbol, missing, repaired)).
 
     Each run is one request to the venue; there are as many as outages, so their
     list is small.
@@ -83,6 +92,45 @@ def repair(candles: DataFrame, marks: DataFrame, source: KlineSource, symbol: st
     lost = gaps.missing(candles.filter(F.col("symbol") == symbol), end_ms - lookback_ms, end_ms)
     requests = sorted((r["start"], r["end"]) for r in gaps.runs(lost).collect())
     if not requests:
-        return candles, gaps.coverage(lost, candles.limit(0))
+        return None, gaps.coverage(lost, candles.limit(0))
     fetched = source(symbol, requests).select(*candles.columns)
-    return with_rollups(candles, fetched, symbol, requests[0][0], end_ms), gaps.coverage(lost, fetched)
+    return fill(candles, fetched, symbol, requests[0][0], end_ms), gaps.coverage(lost, fetched)
+
+
+def repair(candles: DataFrame, *rest) -> tuple[DataFrame, DataFrame]:
+    """(``candles`` with repair_changes made, (symbol, missing, repaired))."""
+    changes, found = repair_changes(candles, *rest)
+    return (candles if changes is None else merge.overwrite(candles, changes)), found
+
+
+def repair_all(store: Store, source: KlineSource, symbols: Sequence[str], lookback_ms: int, now_ms: int) -> dict[str, Exception]:
+    """Repair each symbol in the store; what went wrong with a symbol stays with it."""
+    failed: dict[str, Exception] = {}
+    for symbol in symbols:
+        try:
+            changes, _ = repair_changes(store.candles(start_ms=now_ms - lookback_ms - DAY_MS), store.watermarks(), source, symbol, lookback_ms, now_ms)
+            if changes is not None:
+                store.put_candles(changes)
+        except Exception as e:  # a venue's or a table's; the others go on
+            failed[symbol] = e
+    return failed
+
+
+def repair_forever(store: Store, source: KlineSource, symbols: Sequence[str], lookback_ms: int, every_s: float, *, rounds: int | None = None, report: Callable[[dict[str, Exception]], None] = lambda failed: None) -> None:
+    """repair_all again and again, ``every_s`` seconds apart, endlessly or ``rounds`` times."""
+    done = 0
+    while rounds is None or done < rounds:
+        if done:
+            time.sleep(every_s)
+        report(repair_all(store, source, symbols, lookback_ms, int(time.time() * 1000)))
+        done += 1
+
+
+def candles_of(trades: DataFrame, symbol: str, tf: str, *, end_ms: int, start_ms: int | None = None, limit: int | None = None, **known) -> DataFrame:
+    """candles_range straight from trades: only the symbol's trades of the range are read, only the timeframe is folded."""
+    if tf not in TIMEFRAMES:
+        raise ValueError(f"unknown timeframe {tf}")
+    width = TIMEFRAMES[tf]
+    first = default_from(end_ms, tf, checked_limit(limit)) if start_ms is None else start_ms
+    whole = (F.col("ts_ms") >= first - first % width) & (F.col("ts_ms") < end_ms - end_ms % -width)
+    return candles_range(ohlcv.candles(trades.filter((F.col("symbol") == symbol) & whole), [tf]), symbol, tf, start_ms=start_ms, end_ms=end_ms, limit=limit, **known)

@@ -7,7 +7,6 @@ Candles leave as they go over the wire, numbers as fixed-point text.
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Callable
 
@@ -102,7 +101,7 @@ def wire(candles: DataFrame, *more: str) -> DataFrame:
 
 @query(f"WITH {TRADES_SQL} SELECT source, symbol, trade_id, CAST(price AS VARCHAR) AS price, CAST(qty AS VARCHAR) AS qty, side, ts_ms, arrival, replace(symbol, '-', '') AS venue FROM trades")
 def trades_normalize(spark, sf_dir):
-    gated = validate.gate(raw_trades(spark, sf_dir).withColumn("_all", F.lit(1)), SYMBOLS, 1 << 50)
+    gated = validate.gate(raw_trades(spark, sf_dir), SYMBOLS, 1 << 50)
     good = gated.filter("reason is null or reason = 'unknown_symbol'")
     return good.select("source", "symbol", "trade_id", fixed(F.col("price")).alias("price"), fixed(F.col("qty")).alias("qty"), "side", "ts_ms", "arrival", channels.venue_symbol(F.col("symbol")).alias("venue"))
 
@@ -121,8 +120,7 @@ def reject_unknown_symbol(spark, sf_dir):
 
 @query(f"WITH {TRADES_SQL} SELECT source, trade_id, 'future' AS reason, ts_ms FROM trades WHERE ts_ms - {MIDDLE} > 30000")
 def reject_future(spark, sf_dir):
-    symbols = [r[0] for r in raw_trades(spark, sf_dir).select("symbol").distinct().collect()]  # a handful of event types
-    gated = validate.gate(raw_trades(spark, sf_dir), symbols, MIDDLE)
+    gated = validate.gate(raw_trades(spark, sf_dir), None, MIDDLE)
     return gated.filter("reason = 'future'").select("source", "trade_id", "reason", "ts_ms")
 
 
@@ -318,8 +316,8 @@ def _venue(spark: SparkSession) -> jobs.KlineSource:
 
 def _closed_candles(spark, sf_dir) -> DataFrame:
     """All candles, closed, as a store holds them."""
-    kept = store.Store(spark, f"{_folder(spark)}/store-{uuid.uuid4().hex}")
-    kept.commit({"candles": ohlcv.candles(trades(spark, sf_dir)).withColumn("closed", F.lit(True)).select(*CANDLE.fieldNames())})
+    kept = store.Store(spark, _scratch(spark, "store"))
+    kept.commit(store.Changes(replaced={"candles": ohlcv.candles(trades(spark, sf_dir)).withColumn("closed", F.lit(True)).select(*CANDLE.fieldNames())}))
     return kept.candles()
 
 
@@ -366,12 +364,12 @@ def backfill_capped(spark, sf_dir):
 
 @query(f"{CANDLES_SQL} SELECT {WIRE_SQL} FROM candles WHERE symbol = 'PURCHASE-USD' AND tf = '1h' AND candles.time >= {MIDDLE} AND candles.time < {MIDDLE + 5 * DAY} ORDER BY candles.time LIMIT 50")
 def candles_range(spark, sf_dir):
-    return wire(jobs.candles_range(ohlcv.candles(trades(spark, sf_dir)), "PURCHASE-USD", "1h", symbols=SYMBOLS, start_ms=MIDDLE, end_ms=MIDDLE + 5 * DAY, limit=50))
+    return wire(jobs.candles_of(trades(spark, sf_dir), "PURCHASE-USD", "1h", symbols=SYMBOLS, start_ms=MIDDLE, end_ms=MIDDLE + 5 * DAY, limit=50))
 
 
 @query(f"{CANDLES_SQL} SELECT {WIRE_SQL} FROM candles WHERE symbol = 'PURCHASE-USD' AND tf = '5m' AND candles.time >= {MIDDLE} - 2000 * 300000 AND candles.time < {MIDDLE} ORDER BY candles.time LIMIT 2000")
 def candles_default_from(spark, sf_dir):
-    return wire(jobs.candles_range(ohlcv.candles(trades(spark, sf_dir)), "PURCHASE-USD", "5m", symbols=SYMBOLS, end_ms=MIDDLE, limit=2000))
+    return wire(jobs.candles_of(trades(spark, sf_dir), "PURCHASE-USD", "5m", symbols=SYMBOLS, end_ms=MIDDLE, limit=2000))
 
 
 @query(
@@ -382,8 +380,7 @@ def symbol_alias_join(spark, sf_dir):
     n = F.col("trade_id").cast("bigint") % 4
     venue = F.when(n == 0, F.col("symbol")).when(n == 1, channels.venue_symbol(F.col("symbol"))).when(n == 2, channels.venue_symbol(F.col("symbol"), "/")).otherwise(F.concat(F.lit("x"), "symbol"))
     rows = raw_trades(spark, sf_dir).select("trade_id", venue.alias("venue"))
-    table = spark.createDataFrame(list(decoders.aliases(["CLICK-USD", "PURCHASE-USD"]).items()), "venue string, symbol string")
-    return rows.join(F.broadcast(table), "venue", "left").select("trade_id", "venue", "symbol")
+    return rows.withColumn("symbol", decoders.canonical(F.col("venue"), ["CLICK-USD", "PURCHASE-USD"]))
 
 
 @query(f"WITH {TRADES_SQL} SELECT trade_id, symbol FROM trades WHERE symbol IN ('CLICK-USD', 'VIEW-USD')")
@@ -440,7 +437,7 @@ def channel_route(spark, sf_dir):
 
 @query(f"WITH {TRADES_SQL} SELECT symbol, quantile_cont(arrival - ts_ms, 0.5) AS p50, quantile_cont(arrival - ts_ms, 0.9) AS p90, quantile_cont(arrival - ts_ms, 0.99) AS p99 FROM trades GROUP BY symbol")
 def latency_percentiles(spark, sf_dir):
-    return metrics.percentiles(trades(spark, sf_dir), (F.col("arrival") - F.col("ts_ms")).cast("double"), [0.5, 0.9, 0.99], ["symbol"])
+    return metrics.percentiles(trades(spark, sf_dir), F.col("arrival") - F.col("ts_ms"), [0.5, 0.9, 0.99], ["symbol"])
 
 
 @query(f"WITH {TRADES_SQL} SELECT symbol, ts_ms - ts_ms % 60000 AS time, count(*) AS n, count(*) / CAST(60 AS DOUBLE) AS per_second FROM trades GROUP BY symbol, ts_ms - ts_ms % 60000")
@@ -495,11 +492,11 @@ def synthetic_walk(spark, sf_dir):
 @query(CLOSED_SQL)
 def live_stream_replay(spark, sf_dir):
     """The stateful stream over the trades, in two files by arrival; the last snapshot of each candle."""
-    at = f"{_folder(spark)}/replay-{uuid.uuid4().hex}"
+    at = _scratch(spark, "replay")
     rows = trades(spark, sf_dir).select("source", "symbol", "trade_id", "price", "qty", "side", "ts_ms", "arrival")
     for part in (F.col("arrival") < MIDDLE, F.col("arrival") >= MIDDLE):
         rows.filter(part).coalesce(1).write.mode("append").parquet(f"{at}/trades")
-        time.sleep(1.1)  # files are taken by their time
+    _in_order(spark, f"{at}/trades", rows)
     session = spark.newSession()
     for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         session.conf.set(key, spark.conf.get(key))
@@ -514,6 +511,22 @@ def live_stream_replay(spark, sf_dir):
     return wire(merge.last_per_key(found.select(*CANDLE.fieldNames(), "seq"), "seq"), "closed")
 
 
-def _folder(spark: SparkSession) -> str:
-    """The shared folder of the session; a local session without one has its own."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
+def _in_order(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    """Give the files of a folder times a second apart, by their first arrival: streams take files by their time."""
+    firsts = spark.read.schema(rows.schema).parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("arrival").alias("first"))
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for i, row in enumerate(firsts.orderBy("first").collect()):  # a file a part
+        fs.setTimes(spark._jvm.org.apache.hadoop.fs.Path(row["file"]), MIDDLE + 1000 * i, -1)
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the cluster shares, deleted when the session's JVM ends; a local session without one has its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "file:///tmp/checkpoints"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return path.toString()

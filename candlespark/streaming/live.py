@@ -8,17 +8,18 @@ trades come out as rows of their own; candles come out open and closed.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from decimal import Context, Decimal
+from itertools import accumulate
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from candlespark.operators.dedup import not_in_log
 from candlespark.operators.lateness import ALLOWED_LATENESS_MS, IDLE_GRACE_MS
-from candlespark.operators.merge import guarded_upsert
 from candlespark.schemas import BASE_TIMEFRAME, CANDLE, LATE, TIMEFRAMES, TRADE
 from candlespark.sources.store import Store
 
@@ -36,41 +37,55 @@ def output(**values) -> Row:
 MINUTE = TIMEFRAMES[BASE_TIMEFRAME]
 
 
-class Candle:
-    """The mergeable state of one open bucket."""
+def number(units: int, places: int = 8) -> Decimal:
+    return EXACT.scaleb(Decimal(units), -places)
 
-    __slots__ = ("close", "first", "high", "last", "low", "open", "quote", "trades", "volume")
 
-    def __init__(self, saved: str | None = None) -> None:
-        self.trades, self.volume, self.quote = 0, Decimal(0), Decimal(0)
-        if saved:
-            first, last, *numbers, self.trades = json.loads(saved)
-            self.first, self.last = tuple(first), tuple(last)
-            self.open, self.high, self.low, self.close, self.volume, self.quote = map(Decimal, numbers)
+class Fold(NamedTuple):
+    """What some trades come to: ohlcv.partial_minutes for one bucket, in whole units of 1e-8 (quote: 1e-16).
 
-    def saved(self) -> str:
-        return json.dumps([self.first, self.last, *map(str, (self.open, self.high, self.low, self.close, self.volume, self.quote)), self.trades])
+    ``first`` and ``last`` are a trade's (ts_ms, length of id, id, source,
+    arrival, price), so that they order as open and close do.
+    """
+
+    first: tuple
+    last: tuple
+    high: int
+    low: int
+    volume: int
+    quote: int
+    trades: int
+
+    def saved(self) -> list:
+        return list(self)
+
+    @classmethod
+    def loaded(cls, saved: list) -> Fold:
+        first, last, *numbers = saved
+        return cls(tuple(first), tuple(last), *numbers)
+
+    def candle(self) -> dict:
+        return {"open": number(self.first[-1]), "high": number(self.high), "low": number(self.low), "close": number(self.last[-1]), "volume": number(self.volume), "quote_volume": number(self.quote, 16), "trades": self.trades}
+
+
+def fold_of(row: Row) -> Fold:
+    at = (row.ts_ms, len(row.trade_id), row.trade_id, row.source, row.arrival, row.price)
+    return Fold(at, at, row.price, row.price, row.qty, row.price * row.qty, 1)
 
-    def add(self, key: tuple, price: Decimal, qty: Decimal, notional: Decimal) -> None:
-        if not self.trades:
-            self.first = self.last = key
-            self.open = self.high = self.low = self.close = price
-        else:
-            if key < self.first:
-                self.first, self.open = key, price
-            if key >= self.last:
-                self.last, self.close = key, price
-            self.high, self.low = max(self.high, price), min(self.low, price)
-        self.trades += 1
-        self.volume = EXACT.add(self.volume, qty)
-        self.quote = EXACT.add(self.quote, notional)
+
+def merged(folds: Iterable[Fold]) -> Fold:
+    """Of any number of folds, in any order."""
+    first, last, high, low, volume, quote, trades = zip(*folds, strict=True)
+    return Fold(min(first), max(last), max(high), min(low), sum(volume), sum(quote), sum(trades))
 
 
 class CandleProcessor(StatefulProcessor):
-    """State of a symbol: greatest event time, watermark, open buckets, ids seen in open minutes.
+    """State of a symbol: its watermark; the folds of open minutes; of each higher open bucket the fold of its minutes that have closed; ids seen in open minutes.
 
-    Within a batch everything is held in memory and written back once, so the
-    state store is asked for each open bucket and not for each trade.
+    A trade goes into its minute's fold alone. Higher timeframes are merged from
+    minutes when they are written out, and a minute that closes is merged into
+    what is held for them. Ids are kept in one piece a minute and batch, so that
+    a batch writes only those that are new.
     """
 
     def __init__(self, allowed_ms: int = ALLOWED_LATENESS_MS, grace_ms: int | None = None) -> None:
@@ -79,96 +94,117 @@ class CandleProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.mark = handle.getValueState("mark", "watermark long, seq long")
-        self.open = handle.getMapState("open", "tf string, bucket long", "saved string")
-        self.seen = handle.getMapState("seen", "minute long", "ids string")
+        self.open = handle.getMapState("open", "minute long", "saved string")
+        self.past = handle.getMapState("past", "tf string, bucket long", "saved string")
+        self.seen = handle.getMapState("seen", "minute long, piece int", "ids string")
 
     def _load(self) -> None:
         saved = self.mark.get() if self.mark.exists() else None
         self.watermark, self.seq = (saved[0], saved[1]) if saved else (None, 0)
-        self.buckets = {(k[0], k[1]): Candle(v[0]) for k, v in self.open.iterator()}
-        self.ids = {k[0]: set(map(tuple, json.loads(v[0]))) for k, v in self.seen.iterator()}
-
-    def _accept(self, row: Row) -> str:
-        """Fold a trade in: late, copy or new."""
-        minute = row.ts_ms - row.ts_ms % MINUTE
-        if self.watermark is not None and minute + MINUTE <= self.watermark:
-            return "late"
-        mark = row.ts_ms - self.allowed
-        self.watermark = mark if self.watermark is None else max(self.watermark, mark)
-        known, own = self.ids.setdefault(minute, set()), (row.source, row.trade_id)
-        if own in known:
-            return "copy"
-        known.add(own)
-        key = (row.ts_ms, len(row.trade_id), row.trade_id, row.source)
-        notional = EXACT.multiply(row.price, row.qty)
+        held = {k[0]: json.loads(v[0]) for k, v in self.open.iterator()}
+        self.minutes = {minute: Fold.loaded(fold) for minute, (fold, _) in held.items()}
+        self.pieces = defaultdict(int, {minute: n for minute, (_, n) in held.items()})
+        self.parts = {(k[0], k[1]): Fold.loaded(json.loads(v[0])) for k, v in self.past.iterator()}
+
+    def _new(self, minute: int, rows: list[Row]) -> list[Row]:
+        """The rows of a minute whose ids weren't seen in it, which are seen from here on."""
+        known = {tuple(key) for n in range(self.pieces[minute]) for key in json.loads(self.seen.getValue((minute, n))[0])}
+        firsts = {(r.source, r.trade_id): r for r in reversed(rows)}
+        new = [r for r in rows if (r.source, r.trade_id) not in known and firsts[r.source, r.trade_id] is r]
+        if new:
+            self.seen.updateValue((minute, self.pieces[minute]), (json.dumps([(r.source, r.trade_id) for r in new]),))
+            self.pieces[minute] += 1
+        return new
+
+    def _flush(self, symbol: str, touched: set[int]) -> Iterator[Row]:
+        """A row for each bucket that a new trade touched or the watermark has passed; what stays open is saved."""
+        rows = []
         for tf, width in TIMEFRAMES.items():
-            at = (tf, row.ts_ms - row.ts_ms % width)
-            bucket = self.buckets.get(at)
-            if bucket is None:
-                bucket = self.buckets[at] = Candle()
-            bucket.add(key, row.price, row.qty, notional)
-            self.dirty.add(at)
-        return "new"
-
-    def _flush(self, symbol: str) -> Iterator[Row]:
-        """Close what the watermark has passed; a row for each closed or changed bucket; save the rest."""
-        closed = {at for at in self.buckets if at[1] + TIMEFRAMES[at[0]] <= self.watermark}
-        for at in sorted(closed | self.dirty, key=lambda a: (a[1], TIMEFRAMES[a[0]])):
-            tf, time = at
-            c = self.buckets[at]
+            folds = defaultdict(list)
+            for minute, fold in self.minutes.items():
+                folds[minute - minute % width].append(fold)
+            for name, bucket in self.parts:
+                if name == tf:
+                    folds[bucket].append(self.parts[tf, bucket])
+            fresh = {minute - minute % width for minute in touched}
+            rows += [(bucket, width, tf, merged(held), bucket + width <= self.watermark) for bucket, held in folds.items() if bucket in fresh or bucket + width <= self.watermark]
+        for bucket, _, tf, fold, closed in sorted(rows, key=lambda r: r[:2]):
             self.seq += 1
-            yield output(kind="candle", symbol=symbol, tf=tf, time=time, open=c.open, high=c.high, low=c.low, close=c.close, volume=c.volume, quote_volume=c.quote, trades=c.trades, closed=at in closed, seq=self.seq)
-            if at in closed:
-                if self.open.containsKey(at):
-                    self.open.removeKey(at)
-                del self.buckets[at]
-            else:
-                self.open.updateValue(at, (c.saved(),))
-        for minute in [m for m in self.ids if m + MINUTE <= self.watermark]:
-            if self.seen.containsKey((minute,)):
-                self.seen.removeKey((minute,))
-            del self.ids[minute]
-        for minute in {at[1] for at in self.dirty if at[0] == BASE_TIMEFRAME} & self.ids.keys():
-            self.seen.updateValue((minute,), (json.dumps(sorted(self.ids[minute])),))
-        self.mark.update((self.watermark, self.seq))
+            yield output(kind="candle", symbol=symbol, tf=tf, time=bucket, **fold.candle(), closed=closed, seq=self.seq)
+        self._save(touched)
         yield output(kind="mark", symbol=symbol, time=self.watermark, seq=self.seq)
 
+    def _save(self, touched: set[int]) -> None:
+        ended = [minute for minute in self.minutes if minute + MINUTE <= self.watermark]
+        changed = set()
+        for minute in ended:
+            fold = self.minutes.pop(minute)
+            for tf, width in TIMEFRAMES.items():
+                at = (tf, minute - minute % width)
+                if at[1] + width > self.watermark:
+                    self.parts[at] = merged([fold, self.parts[at]]) if at in self.parts else fold
+                    changed.add(at)
+            for n in range(self.pieces.pop(minute)):
+                self.seen.removeKey((minute, n))
+            if self.open.containsKey((minute,)):
+                self.open.removeKey((minute,))
+        for minute in touched & self.minutes.keys():
+            self.open.updateValue((minute,), (json.dumps([self.minutes[minute].saved(), self.pieces[minute]]),))
+        for at in changed:
+            self.past.updateValue(at, (json.dumps(self.parts[at].saved()),))
+        for at in [a for a in self.parts if a[1] + TIMEFRAMES[a[0]] <= self.watermark]:
+            del self.parts[at]
+            self.past.removeKey(at)
+        self.mark.update((self.watermark, self.seq))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         (symbol,) = key
         self._load()
-        self.dirty: set[tuple[str, int]] = set()
         # a shuffle keeps no order, so arrival says it
-        for row in sorted(rows, key=lambda r: (r.arrival, len(r.trade_id), r.trade_id, r.source)):
-            judged = self._accept(row)
-            if judged == "new":
-                yield output(kind="trade", symbol=symbol, time=row.ts_ms, source=row.source, trade_id=row.trade_id, price=row.price, qty=row.qty, side=row.side, arrival=row.arrival)
-            elif judged == "late":
-                self.seq += 1
-                said = json.dumps({"source": row.source, "symbol": symbol, "trade_id": row.trade_id, "price": f"{row.price:f}", "qty": f"{row.qty:f}", "side": row.side, "ts_ms": row.ts_ms})
-                yield output(kind="late", symbol=symbol, time=row.ts_ms, seq=self.seq, payload=said, detail=str(self.watermark), source=row.source, reason=LATE)
+        order = sorted(rows, key=lambda r: (r.arrival, len(r.trade_id), r.trade_id, r.source))
+        start = [] if self.watermark is None else [self.watermark]
+        marks = list(accumulate(start + [r.ts_ms - self.allowed for r in order], max))
+        before = marks if start else [None, *marks]  # the watermark when each arrived
+        on_time = defaultdict(list)
+        for row, mark in zip(order, before, strict=False):
+            minute = row.ts_ms - row.ts_ms % MINUTE
+            if mark is None or minute + MINUTE > mark:
+                on_time[minute].append(row)
+                continue
+            self.seq += 1
+            said = json.dumps({"source": row.source, "symbol": symbol, "trade_id": row.trade_id, "price": f"{number(row.price):f}", "qty": f"{number(row.qty):f}", "side": row.side, "ts_ms": row.ts_ms})
+            yield output(kind="late", symbol=symbol, time=row.ts_ms, seq=self.seq, payload=said, detail=str(mark), source=row.source, reason=LATE)
+        touched = set()
+        for minute, found in on_time.items():
+            new = self._new(minute, found)
+            if new:
+                touched.add(minute)
+                self.minutes[minute] = merged([*(f for m, f in self.minutes.items() if m == minute), *map(fold_of, new)])
+            for row in new:
+                yield output(kind="trade", symbol=symbol, time=row.ts_ms, source=row.source, trade_id=row.trade_id, price=number(row.price), qty=number(row.qty), side=row.side, arrival=row.arrival)
+        self.watermark = marks[-1]
         if self.grace is not None:
             now = timerValues.getCurrentProcessingTimeInMs()
             self.watermark = max(self.watermark, now - self.allowed - self.grace)
+        yield from self._flush(symbol, touched)
+        if self.grace is not None:
             self._wake(now)
-        yield from self._flush(symbol)
 
     def _wake(self, now: int) -> None:
         """Look again when the earliest open bucket would be idle; one timer at a time."""
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if self.buckets:
-            end = min(b + TIMEFRAMES[tf] for tf, b in self.buckets)
-            self.handle.registerTimer(max(now + 1, end + self.allowed + self.grace))
+        ends = [minute + MINUTE for minute in self.minutes] + [bucket + TIMEFRAMES[tf] for tf, bucket in self.parts]
+        if ends:
+            self.handle.registerTimer(max(now + 1, min(ends) + self.allowed + self.grace))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         (symbol,) = key
         self._load()
-        self.dirty = set()
         now = timerValues.getCurrentProcessingTimeInMs()
         self.watermark = max(self.watermark, now - self.allowed - (self.grace or 0))
-        rows = list(self._flush(symbol))
+        yield from list(self._flush(symbol, set()))
         self._wake(now)
-        yield from rows
 
     def close(self) -> None:
         pass
@@ -176,8 +212,9 @@ class CandleProcessor(StatefulProcessor):
 
 def live_candles(trades: DataFrame, allowed_ms: int = ALLOWED_LATENESS_MS, grace_ms: int | None = None) -> DataFrame:
     """OUTPUT rows of a stream of trades; with ``grace_ms`` (live only) quiet symbols close on the clock."""
-    columns = ["source", "symbol", "trade_id", "price", "qty", "side", "ts_ms", "arrival"]
-    return trades.select(*columns).groupBy("symbol").transformWithState(
+    units = [(F.col(c) * F.lit(100_000_000)).cast("bigint").alias(c) for c in ("price", "qty")]
+    rows = trades.select("source", "symbol", "trade_id", *units, "side", "ts_ms", F.coalesce("arrival", "ts_ms").alias("arrival"))
+    return rows.groupBy("symbol").transformWithState(
         statefulProcessor=CandleProcessor(allowed_ms, grace_ms), outputStructType=OUTPUT, outputMode="Update", timeMode="None" if grace_ms is None else "ProcessingTime"
     )
 
@@ -188,14 +225,10 @@ def into_store(store: Store):
     def write(rows: DataFrame, batch: int) -> None:
         rows = rows.persist()  # the stateful stage must run once
         try:
-            changes = rows.filter("kind = 'candle'").select(*CANDLE.fieldNames(), "seq")
             letters = rows.filter("kind in ('late', 'refused')").select("source", "reason", "payload", "detail", F.lit("aggregate").alias("stage"))
             accepted = rows.filter("kind = 'trade'").withColumn("ts_ms", F.col("time")).withColumn("ts", F.timestamp_millis("time"))
-            log = store.trades()
-            trades = log.unionByName(not_in_log(accepted.select(*TRADE.fieldNames()), log).select(*TRADE.fieldNames()))
             marks = rows.filter("kind = 'mark'").groupBy("symbol").agg(F.max("time").alias("watermark"))
-            old = store.watermarks().join(marks, "symbol", "left_anti")
-            store.commit({"candles": guarded_upsert(store.candles(), changes), "trades": trades, "dead_letters": store.dead_letters().unionByName(letters), "checkpoints": old.unionByName(marks)}, batch)
+            store.apply(candles=rows.filter("kind = 'candle'").select(*CANDLE.fieldNames(), "seq"), trades=accepted.select(*TRADE.fieldNames()), letters=letters, marks=marks, batch=batch)
         finally:
             rows.unpersist()
 
@@ -208,12 +241,12 @@ def refused(rejections: DataFrame) -> DataFrame:
     return rejections.select(*[given.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in (c.split() for c in OUTPUT.split(", "))])
 
 
-def run(trades: DataFrame, store: Store, checkpoint: str, *, rejections: DataFrame | None = None, allowed_ms: int = ALLOWED_LATENESS_MS, live: bool = True, interval: str = "1 second") -> StreamingQuery:
+def run(trades: DataFrame, store: Store, checkpoint: str, *, rejections: DataFrame | None = None, allowed_ms: int = ALLOWED_LATENESS_MS, grace_ms: int = IDLE_GRACE_MS, live: bool = True, interval: str = "1 second") -> StreamingQuery:
     """Start the service: live with the idle clock, or a finite replay of what is there.
 
     ``rejections`` of the same stream are dead-lettered in the commit of their batch.
     """
-    rows = live_candles(trades, allowed_ms, IDLE_GRACE_MS if live else None)
+    rows = live_candles(trades, allowed_ms, grace_ms if live else None)
     if rejections is not None:
         rows = rows.unionByName(refused(rejections))
     writer = rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(into_store(store))
@@ -221,7 +254,7 @@ def run(trades: DataFrame, store: Store, checkpoint: str, *, rejections: DataFra
 
 
 class LagListener(StreamingQueryListener):
-    """Rows in, rows a second and state size of each batch, for a lag probe."""
+    """Rows in, rows a second, time taken, files behind and state size of each batch, for a lag probe."""
 
     def __init__(self) -> None:
         self.batches: list[dict] = []
@@ -231,7 +264,7 @@ class LagListener(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        self.batches.append({"batch": p.batchId, "rows": p.numInputRows, "rows_a_second": p.processedRowsPerSecond, "state_rows": sum(s.numRowsTotal for s in p.stateOperators)})
+        self.batches.append({"batch": p.batchId, "rows": p.numInputRows, "rows_a_second": p.processedRowsPerSecond, "batch_ms": p.batchDuration, "behind": [s.metrics for s in p.sources], "state_rows": sum(s.numRowsTotal for s in p.stateOperators)})
 
     def onQueryIdle(self, event) -> None:
         pass

@@ -83,7 +83,7 @@ def test_verbs_keep_every_row(spark, tmp_path, monkeypatch):
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     now = int(time.time() * 1000)
-    event = {"e": "trade", "s": "BTCUSDT", "t": 12, "p": "63310.01", "q": "0.00079", "T": 1727172000124, "m": True}
+    event = {"e": "trade", "s": "BTCUSDT", "t": 12, "p": "41250.5", "q": "0.015", "T": 1740900600777, "m": True}
     lines = [json.dumps(event), json.dumps(event | {"t": 13}), json.dumps(event | {"t": 14, "T": now + 86_400_000}), "{"]
     spark.createDataFrame([(line,) for line in lines], "raw string").coalesce(1).write.text(f"{at}/frames")
     try:
@@ -95,7 +95,7 @@ def test_verbs_keep_every_row(spark, tmp_path, monkeypatch):
         for _ in range(2):
             main(["aggregate", "--once"])
             assert letters() == [("future", "ingest"), ("malformed", "aggregate"), ("malformed", "ingest")]
-            assert sorted((r.trade_id, r.ts_ms, r.price) for r in store.trades().collect()) == [(t, 1727172000124, Decimal("63310.01")) for t in ("12", "13")]
+            assert sorted((r.trade_id, r.ts_ms, r.price) for r in store.trades().collect()) == [(t, 1740900600777, Decimal("41250.5")) for t in ("12", "13")]
             assert store.candles().filter("tf = '1m'").select("trades").collect()[0][0] == 2
     finally:
         spark.conf.set(provider, before)

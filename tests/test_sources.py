@@ -21,12 +21,12 @@ def decoded(spark, decoder, *raw, **options):
     return decoder(rows, SYMBOLS, **options).collect()
 
 
-BINANCE = {"e": "trade", "s": "BTCUSDT", "t": 12, "p": "63310.01000000", "q": "0.00079000", "T": 1727172000124, "m": True}
+BINANCE = {"e": "trade", "s": "BTCUSDT", "t": 12, "p": "41250.50000000", "q": "0.01500000", "T": 1740900600777, "m": True}
 
 
 def test_binance(spark):
     good = decoded(spark, decoders.binance, {"stream": "x", "data": BINANCE}, BINANCE | {"m": False})
-    assert [(r.symbol, r.trade_id, r.price, r.qty, r.side, r.ts_ms, r.reason) for r in good] == [("BTC-USDT", "12", Decimal("63310.01"), Decimal("0.00079"), side, 1727172000124, None) for side in ("sell", "buy")]
+    assert [(r.symbol, r.trade_id, r.price, r.qty, r.side, r.ts_ms, r.reason) for r in good] == [("BTC-USDT", "12", Decimal("41250.5"), Decimal("0.015"), side, 1740900600777, None) for side in ("sell", "buy")]
     bad = decoded(spark, decoders.binance, "{", "[1]", {"result": None, "id": 1}, BINANCE | {"s": "DOGEUSDT"}, {k: v for k, v in BINANCE.items() if k != "p"}, BINANCE | {"p": "x"}, BINANCE | {"q": "0"}, BINANCE | {"T": "soon"})
     assert [(r.reason, r.detail) for r in bad][2] == ("unknown_symbol", "DOGEUSDT")
     assert [r.reason for r in bad] == ["malformed", "malformed", "unknown_symbol", "malformed", "malformed", "malformed", "malformed"]
@@ -34,26 +34,26 @@ def test_binance(spark):
 
 
 def kraken_item(**more):
-    return {"symbol": "BTC/USD", "side": "sell", "price": 63287.4, "qty": 0.00253, "trade_id": 7, "timestamp": "2024-09-24T10:00:00.412871Z"} | more
+    return {"symbol": "BTC/USD", "side": "sell", "price": 39870.2, "qty": 0.0125, "trade_id": 7, "timestamp": "2025-03-02T07:30:00.305118Z"} | more
 
 
 def test_kraken(spark):
-    raw = '{"channel":"trade","data":[{"symbol":"BTC/USD","side":"buy","price":1234567890.12345678,"qty":0.00010900,"trade_id":1,"timestamp":"2024-09-24T10:00:00.412871Z"}]}'
+    raw = '{"channel":"trade","data":[{"symbol":"BTC/USD","side":"buy","price":1234567890.12345678,"qty":0.00730000,"trade_id":1,"timestamp":"2025-03-02T07:30:00.305118Z"}]}'
     (one,) = decoded(spark, decoders.kraken, raw)
-    assert (one.price, one.qty, one.ts_ms, one.symbol) == (Decimal("1234567890.12345678"), Decimal("0.000109"), 1727172000412, "BTC-USD")
+    assert (one.price, one.qty, one.ts_ms, one.symbol) == (Decimal("1234567890.12345678"), Decimal("0.0073"), 1740900600305, "BTC-USD")
     frame_of = lambda *items: {"channel": "trade", "data": list(items)}
-    rows = decoded(spark, decoders.kraken, {"channel": "heartbeat"}, frame_of(kraken_item(), kraken_item(symbol="X/Y"), kraken_item(qty=0)), frame_of(kraken_item(), {"symbol": "BTC/USD"}), frame_of(kraken_item(timestamp="2024-09-24T10:00:00")), "nope")
+    rows = decoded(spark, decoders.kraken, {"channel": "heartbeat"}, frame_of(kraken_item(), kraken_item(symbol="X/Y"), kraken_item(qty=0)), frame_of(kraken_item(), {"symbol": "BTC/USD"}), frame_of(kraken_item(timestamp="2025-03-02T07:30:00")), "nope")
     assert [r.reason for r in rows] == [None, "unknown_symbol", "malformed", "malformed", "malformed", "malformed"]
     assert rows[3].detail == "an item lacks a field"
 
 
 def test_engine(spark):
     fmt = decoders.EngineFormat(price_scale=2, qty_scale=4)
-    event = {"type": "trade", "trade_id": 812, "symbol": "BTCUSDT", "price": 6331001, "qty": 250, "taker_side": "BUY", "ts": 1727172000124}
+    event = {"type": "trade", "trade_id": 4401, "symbol": "BTCUSDT", "price": 4125050, "qty": 175, "taker_side": "BUY", "ts": 1740900600777}
     rows = decoded(spark, decoders.engine, event, [event, {"type": "order_accepted"}, {k: v for k, v in event.items() if k != "type"}], {"type": "order"}, [event, event | {"price": "oops"}], event | {"symbol": "DOGE"}, event | {"taker_side": "x"}, "7", "{", fmt=fmt)
     assert [r.reason for r in rows] == [None, None, None, "malformed", "unknown_symbol", "malformed", "malformed", "malformed"]
-    assert (rows[0].price, rows[0].qty, rows[0].side, rows[0].symbol) == (Decimal("63310.01"), Decimal("0.025"), "buy", "BTC-USDT")
-    for unit, ts, ms in (("s", 1727172000.5, 1727172000500), ("us", 1727172000124999, 1727172000124), ("ns", 1727172000124999999, 1727172000124), ("iso", "2024-09-24T10:00:00.124Z", 1727172000124)):
+    assert (rows[0].price, rows[0].qty, rows[0].side, rows[0].symbol) == (Decimal("41250.5"), Decimal("0.0175"), "buy", "BTC-USDT")
+    for unit, ts, ms in (("s", 1740900600.5, 1740900600500), ("us", 1740900600777999, 1740900600777), ("ns", 1740900600777999999, 1740900600777), ("iso", "2025-03-02T07:30:00.777Z", 1740900600777)):
         (row,) = decoded(spark, decoders.engine, event | {"ts": ts}, fmt=decoders.EngineFormat(price_scale=2, ts_unit=unit))
         assert row.ts_ms == ms
     (named,) = decoded(spark, decoders.engine, {"id": 1, "sym": "BTC/USDT", "px": "0.1", "q": "2", "s": "sell", "t": 5}, fmt=decoders.EngineFormat("id", "sym", "px", "q", "s", "t"))
@@ -91,13 +91,63 @@ def test_store_commits_whole_and_once(spark, tmp_path):
     rows = frame(spark, [trade(1, 0, "1"), trade(2, 0, "1"), trade(1, 0, "1")])
     assert {r.trade_id for r in store.insert_trades(rows).collect()} == {"1", "2"}
     assert store.insert_trades(frame(spark, [trade(2, 5, "1"), trade(3, 0, "1")])).first().trade_id == "3"
-    assert store.commit({"candles": store.candles()}, batch=4) and not store.commit({"candles": store.candles()}, batch=4)
+    same = store.candles().withColumn("seq", F.lit(2))
+    assert store.apply(candles=same, batch=4) and not store.apply(candles=same, batch=4)
     store.save_watermarks(spark.createDataFrame([("A-B", 5)], "symbol string, watermark long"))
     store.save_watermarks(spark.createDataFrame([("A-B", 6), ("C-D", 1)], "symbol string, watermark long"))
     assert {tuple(r) for r in store.watermarks(["A-B"]).collect()} == {("A-B", 6)}
+    for _ in range(2):
+        store.apply(letters=spark.createDataFrame([("s", "late", "{}", "5", "aggregate")], "source string, reason string, payload string, detail string, stage string"))
+    store.apply(letters=store.dead_letters().limit(0))
+    assert [r.at[:2] for r in store.dead_letters().collect()] == ["20", "20"]
+    store.compact("dead_letters", most=1)
+    assert store.dead_letters().count() == 2
     store.prune(T0 + 9 * 86_400_000)
     assert store.trades().count() == 0
-    assert store.vacuum() and store.candles().count() == 2
+    assert store.vacuum() and store.candles().count() == 2 and store.dead_letters().count() == 2
+    assert Store(spark, f"file://{tmp_path}/store").watermarks().count() == 2
+
+
+def test_a_commit_touches_its_own_partitions_alone(spark, tmp_path):
+    day, week = 86_400_000, 604_800_000
+    store = Store(spark, f"file://{tmp_path}/store")
+    store.put_candles(spark.createDataFrame([candle(0, 1, True), candle(3 * week, 2, True)], CANDLE))
+    store.insert_trades(frame(spark, [trade(1, 0, "1"), trade(2, 2 * day, "1")]))
+    before = store.manifest()["tables"]
+    store.put_candles(spark.createDataFrame([candle(MINUTE, 3, True)], CANDLE))
+    store.insert_trades(frame(spark, [trade(2, 2 * day, "1"), trade(3, 2 * day, "1")]))
+    after = store.manifest()["tables"]
+    assert [before["candles"][p] == after["candles"][p] for p in sorted(before["candles"])] == [False, True]
+    assert [before["trades"][p] == after["trades"][p] for p in sorted(before["trades"])] == [True, False]
+    assert store.candles().count() == 3 and store.trades().count() == 3
+    assert store.candles("1m", T0 + 3 * week, T0 + 3 * week + 1).count() == 1 and store.candles("5m").count() == 0
+    # a second writer of the same version fails
+    late = Store(spark, f"file://{tmp_path}/store")
+    known = late.manifest()["version"]
+    store.save_watermarks(spark.createDataFrame([("A-B", 5)], "symbol string, watermark long"))
+    late.manifest = lambda: {"version": known, "batch": -1, "tables": after}
+    with pytest.raises(RuntimeError):
+        late.save_watermarks(spark.createDataFrame([("A-B", 4)], "symbol string, watermark long"))
+    assert store.watermarks().first().watermark == 5
+
+
+def test_names_of_venues(spark):
+    names = ["A-B", "AB", "A/B", "A--B", "B-A", "a-b", "", None, "X-Y", "AB-"]
+    rows = spark.createDataFrame([(n,) for n in names], "n string")
+    got = rows.select(decoders.canonical(F.col("n"), ["A-B", "C-D"]).alias("s"), decoders.canonical(F.col("n"), ["A-B"], ["/"]).alias("slash"), decoders.canonical(F.col("n"), []).alias("none")).collect()
+    assert [r.s for r in got] == ["A-B"] * 3 + [None] * 7
+    assert [r.slash for r in got] == [None, None, "A-B"] + [None] * 7 and all(r.none is None for r in got)
+
+
+def test_pages_of_klines():
+    rows, asked = [[t * MINUTE] for t in range(25)], []
+
+    def ask(start, end):
+        asked.append((start, end))
+        return json.dumps([r for r in rows if start <= r[0] < end][:10])
+
+    found = [r[0] // MINUTE for page in decoders.paged(ask, [(0, 22 * MINUTE), (24 * MINUTE, 40 * MINUTE)], 10) for r in json.loads(page)]
+    assert found == [*range(22), 24] and [s // MINUTE for s, _ in asked] == [0, 10, 20, 24]
 
 
 def test_channels(spark):
@@ -112,13 +162,13 @@ def test_channels(spark):
 
 
 def test_times_and_numbers(spark):
-    said = {"1727172000124": 1727172000124, "-1": -1, "2024-09-24T10:00:00Z": 1727172000000, "2024-09-24T12:00:00+02:00": 1727172000000, "2024-09-24": 1727136000000, "2024-09-24T10:00": 1727172000000, "yesterday": None, "now": None, "": None, "99999999999999999999": None, "2024-13-01": None}
+    said = {"1740900600777": 1740900600777, "-1": -1, "2025-03-02T07:30:00Z": 1740900600000, "2025-03-02T09:30:00+02:00": 1740900600000, "2025-03-02": 1740873600000, "2025-03-02T07:30": 1740900600000, "yesterday": None, "now": None, "": None, "99999999999999999999": None, "2024-13-01": None}
     got = spark.createDataFrame([(s,) for s in said], "s string").select("s", timeutil.parse_time(F.col("s")).alias("ms")).collect()
     assert {r.s: r.ms for r in got} == said
     texts = {"0.1": Decimal("0.1"), "1.000000000": Decimal(1), "0.123456789": None, "12345678901": None, "1e3": None, "-2": Decimal(-2)}
     assert {r.s: r.n for r in spark.createDataFrame([(t,) for t in texts], "s string").select("s", numbers.exact(F.col("s")).alias("n")).collect()} == texts
-    row = spark.range(1).select(numbers.fixed(F.lit("0.00000001").cast("decimal(18,8)")).alias("f"), numbers.scaled(F.lit("6331001"), 2).alias("s")).first()
-    assert row.f == "0.00000001" and row.s == Decimal("63310.01")
+    row = spark.range(1).select(numbers.fixed(F.lit("0.00000001").cast("decimal(18,8)")).alias("f"), numbers.scaled(F.lit("4125050"), 2).alias("s")).first()
+    assert row.f == "0.00000001" and row.s == Decimal("41250.5")
 
 
 def test_synthetic_is_seeded(spark):
