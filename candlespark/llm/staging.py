@@ -50,6 +50,14 @@ def discard(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, from the oldest; none if it isn't there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.listStatus(at) if fs.exists(at) else []
+    return [name for _, name in sorted((s.getModificationTime(), s.getPath().getName()) for s in found)]
+
+
 def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write df as Parquet to the shared folder and read it from there."""
     spark = df.sparkSession

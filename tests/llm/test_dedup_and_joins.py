@@ -55,6 +55,26 @@ def test_exact_dedup_in_many_batches_is_the_same(docs, rows):
     assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == expected_dedup(rows)[0]
 
 
+def test_a_state_outlives_the_call(spark, tmp_path):
+    """Two calls with one state are one call over both tables; a call again changes nothing; a clash across calls is refused."""
+    schema = "doc_id long, text string"
+    tables = [[(1, "a b"), (2, "ab"), (3, "x")], [(4, "a  b "), (5, "y"), (6, None), (7, "x")], [(8, "ab   "), (9, "y")]]
+    got, docs = [], []
+    for i, rows in enumerate(tables):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{i}")
+        docs.append(spark.read.parquet(f"file://{tmp_path}/{i}"))
+        got.append({r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(docs[-1], state=f"file://{tmp_path}/state", run=f"r{i}").collect()})
+    assert got[0] == {1: (1, 2, True), 2: (1, 2, False), 3: (3, 1, True)}
+    assert got[1] == {4: (4, 3, True), 5: (5, 1, True), 6: (6, 1, True), 7: (3, 2, False)}
+    assert got[2] == {8: (4, 4, False), 9: (5, 2, False)}
+    again = exact_dedup.exact_dedup(docs[2], state=f"file://{tmp_path}/state", run="r2").collect()
+    assert {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in again} == got[2]
+    weak = {"digest": lambda text: F.length(text).cast("string").cast("binary"), "state": f"file://{tmp_path}/weak"}
+    exact_dedup.exact_dedup(docs[0].filter("doc_id = 3"), **weak).collect()
+    with pytest.raises(ValueError, match="digest"):
+        exact_dedup.exact_dedup(docs[1].filter("doc_id = 5"), **weak)
+
+
 def test_kept_documents_have_all_columns(docs, rows):
     kept = exact_dedup.kept_documents(docs)
     assert kept.columns == docs.columns
