@@ -32,9 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from candlespark.llm import staging
 from candlespark.llm import textkernel as K
 from candlespark.llm.components import connected_components
-from candlespark.llm.staging import from_files, located, release, staged
+from candlespark.llm.staging import from_files, located, release, staged, sweep
 
 #: A region that one task joins pair by pair: documents, and shingles in all.
 LEAF_DOCS, LEAF_SHINGLES = 64, 2_000_000
@@ -42,6 +43,10 @@ LEAF_DOCS, LEAF_SHINGLES = 64, 2_000_000
 CHUNK_DOCS = 384
 #: Pivots of a region in the first round, by how much they grow in each round, and their most.
 PIVOTS, GROWTH, MOST_PIVOTS = 16, 4, 1024
+#: Bytes of documents' places and sizes that are sent to all executors rather than have the texts shuffled to them.
+BROADCAST_BYTES = 32 << 20
+#: Tasks that the rows of one region or cell are dealt over when they get its sizes.
+SALTS = 16
 
 PROFILE = "doc_id long, __doc_file string, __doc_row long, n_shingles long, ka long, kb long, keep0 int, m0 int, sigs0 array<long>, keep1 int, m1 int, sigs1 array<long>"
 
@@ -134,8 +139,8 @@ def profiles(rule: Rule):
     return run
 
 
-def sets_of(rule: Rule):
-    """Arrow batches of (region, node, score, text) to (region, node, score, n, shingles)."""
+def sets_of(rule: Rule, carried: list[str]):
+    """Arrow batches of (text, the carried columns) to (the carried columns, shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,7 +151,7 @@ def sets_of(rule: Rule):
                 row, h = K.shingles(w, n, rule.words)
                 ends = np.searchsorted(row, np.arange(n + 1))
                 blobs = pa.array([h[ends[i] : ends[i + 1]].tobytes() for i in range(n)], type=pa.binary())
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, n) for c in ("region", "node", "score")), pa.array(np.diff(ends)), blobs], names=["region", "node", "score", "n", "shingles"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, n) for c in carried), blobs], names=[*carried, "shingles"])
 
     return run
 
@@ -297,18 +302,22 @@ def spread(docs: Column, shingles: Column, most_docs: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(docs / F.lit(most_docs)), F.ceil(shingles / F.lit(LEAF_SHINGLES))).cast("int")
 
 
-def voronoi_round(regions: DataFrame, sizes: DataFrame, rule: Rule, turn: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One round for all large regions: (links (node, root), leaves, what is left of the regions).
+def beside(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """rows with the columns of their key's one row in ``table``; a key with most of the rows is dealt over SALTS tasks."""
+    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salted, [key, "_salt"]).drop("_salt")
 
-    ``regions`` are (region, node, score, n, shingles), ``sizes`` one row (region,
-    docs, shingles, hub) for each. The hub, whose contents most others share, is
+
+def voronoi_round(regions: DataFrame, rule: Rule, turn: int) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """One round for all large regions: (links (node, root), leaves of windows, what is left of the regions).
+
+    ``regions`` are REGION rows. The hub, whose contents most others share, is
     always a pivot; the other pivots are drawn by hash. Each pivot is compared
     with its whole region, so none is left afterwards.
     """
     most = F.greatest(F.lit(1), F.least(F.lit(min(MOST_PIVOTS, PIVOTS * GROWTH**turn)), F.floor(F.lit(LEAF_SHINGLES) * F.col("docs") / F.col("all_shingles"))))
-    parts = sizes.select("region", "hub", (most / F.col("docs")).alias("share"), spread(F.col("docs"), F.col("all_shingles"), CHUNK_DOCS).alias("chunks"))
-    drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 30)) < F.col("share") * F.lit(float(1 << 30))
-    dealt = regions.join(parts, "region").withColumn("pivot", (F.col("node") == F.col("hub")) | drawn)
+    drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 30)) < most / F.col("docs") * F.lit(float(1 << 30))
+    dealt = regions.withColumn("pivot", (F.col("node") == F.col("hub")) | drawn).withColumn("chunks", spread(F.col("docs"), F.col("all_shingles"), CHUNK_DOCS))
     everywhere = F.sequence(F.lit(0), F.col("chunks") - 1)
     own = F.array(F.pmod(F.xxhash64("node", F.lit(~turn)), F.col("chunks")).cast("int"))
     dealt = dealt.select("region", "node", "score", "n", "shingles", "pivot", F.explode(F.when(F.col("pivot"), everywhere).otherwise(own)).alias("chunk"))
@@ -318,23 +327,29 @@ def voronoi_round(regions: DataFrame, sizes: DataFrame, rule: Rule, turn: int) -
 
     # windows: a cell's documents meet those that may link with one of them
     cores = out.filter("home is not null").groupBy(F.col("home").alias("cell")).agg(F.max("at").alias("cover"), F.count(F.lit(1)).alias("docs"), F.sum("n").alias("all_n"))
-    seen = out.filter(F.size("cells") > 0).select("node", "n", "shingles", F.explode(F.arrays_zip("cells", "afar")).alias("c"))
-    window = seen.select("node", "n", "shingles", F.col("c.cells").alias("cell"), F.col("c.afar").alias("afar")).join(cores, "cell").filter(F.col("afar") <= F.col("cover") + F.lit(rule.radius + 1e-9))
-    plan = window.groupBy("cell").agg(F.first("docs").alias("docs"), F.first("all_n").alias("all_n"), F.count(F.lit(1)).alias("guests"), F.sum("n").alias("guest_n"))
-    plan = staged(plan.select("cell", spread(F.col("docs"), F.col("all_n"), CHUNK_DOCS).alias("chunks"), spread(F.col("guests"), F.col("guest_n"), CHUNK_DOCS).alias("blocks")), "jaccard-windows")
-    if plan.isEmpty():
+    seen = out.filter(F.size("cells") > 0).select("node", "n", F.explode(F.arrays_zip("cells", "afar")).alias("c")).select("node", "n", F.col("c.cells").alias("cell"), F.col("c.afar").alias("afar"))
+    window = staged(beside(seen, cores, "cell").filter(F.col("afar") <= F.col("cover") + F.lit(rule.radius + 1e-9)).select("cell", "node", "n", "docs", "all_n"), "jaccard-windows")
+    if window.isEmpty():
         return links, None, left
-    core = out.filter("home is not null").select(F.col("home").alias("cell"), "node", "shingles").join(plan, "cell")
+    sized = window.groupBy("cell", "docs", "all_n").agg(F.count(F.lit(1)).alias("guests"), F.sum("n").alias("guest_n"))
+    plan = sized.select("cell", spread(F.col("docs"), F.col("all_n"), CHUNK_DOCS).alias("chunks"), spread(F.col("guests"), F.col("guest_n"), CHUNK_DOCS).alias("blocks"))
+    core = beside(out.filter("home is not null").select(F.col("home").alias("cell"), "node", F.lit(1).alias("side")), plan, "cell")
     core = core.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    guests = window.select("cell", "node", "shingles").join(plan, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    leaf = F.concat_ws(":", F.lit("w"), "cell", "chunk", "block").alias("leaf")
-    return links, core.select(leaf, "node", F.lit(1).alias("side"), "shingles").unionByName(guests.select(leaf, "node", F.lit(2).alias("side"), "shingles")), left
+    guests = beside(window.select("cell", "node", F.lit(2).alias("side")), plan, "cell")
+    guests = guests.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    places = core.select("cell", "chunk", "block", "node", "side").unionByName(guests.select("cell", "chunk", "block", "node", "side"))
+    blobs = out.filter("not pivot").select("node", "shingles")  # one row for each
+    return links, places.join(blobs, "node").select(F.concat_ws(":", F.lit(f"w{turn}"), "cell", "chunk", "block").alias("leaf"), "node", "side", "shingles"), left
+
+
+REGION = ["region", "node", "score", "n", "docs", "all_shingles", "hub"]
 
 
-def region_sizes(regions: DataFrame) -> DataFrame:
-    """(region, docs, all_shingles, hub) of regions of more than one document."""
+def with_sizes(rows: DataFrame) -> DataFrame:
+    """rows (region, node, score, n, ...) of regions of more than one document, with docs, all_shingles and hub of their region."""
     hub = F.max_by("node", F.struct("score", F.xxhash64("node")))
-    return regions.groupBy("region").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("all_shingles"), hub.alias("hub")).filter("docs > 1")
+    sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("all_shingles"), hub.alias("hub"))
+    return beside(rows, sizes.filter("docs > 1"), "region")
 
 
 def is_large() -> Column:
@@ -344,41 +359,40 @@ def is_large() -> Column:
 def components_of_regions(active: DataFrame, texts: DataFrame, rule: Rule, stats: dict | None = None) -> DataFrame:
     """(node, root) of the documents of candidate regions, by their exact links.
 
-    ``active`` are (region, node, score, n, __doc_file, __doc_row), ``texts``
-    the texts by place. Small regions are leaves at once; the others go through
-    rounds of pivots until they are small.
+    ``active`` are (region, node, score, n, file, row), ``texts`` the texts by
+    (file, row). Small regions are leaves at once; the others go through rounds
+    of pivots until they are small.
     """
-    sizes = staged(region_sizes(active), "jaccard-sizes")
-    large = sizes.filter(is_large())
+    placed = staged(with_sizes(active), "jaccard-placed")
 
-    def sets(chosen: DataFrame) -> DataFrame:
-        wanted = texts.join(chosen.select("region", "node", "score", "__doc_file", "__doc_row"), ["__doc_file", "__doc_row"])
-        return wanted.select("region", "node", "score", "text").mapInArrow(sets_of(rule), "region long, node long, score double, n long, shingles binary")
+    def sets(chosen: DataFrame, carried: list[str]) -> DataFrame:
+        few = chosen.count() * 8 * (2 + len(carried)) <= BROADCAST_BYTES  # rows of numbers alone
+        places = chosen.select("file", "row", *carried)
+        wanted = texts.join(F.broadcast(places) if few else places, ["file", "row"]).select("text", *carried)
+        kinds = ", ".join(f"{c} {'double' if c == 'score' else 'long'}" for c in carried)
+        return wanted.mapInArrow(sets_of(rule, carried), f"{kinds}, shingles binary")
 
     def leaf(rows: DataFrame, name: str) -> DataFrame:
         return rows.select(F.concat_ws(":", F.lit(name), "region").alias("leaf"), "node", F.lit(0).alias("side"), "shingles")
 
-    small = active.join(sizes.filter(~is_large()).select("region"), "region")
-    leaves = [leaf(sets(small), "r")]
+    # one reading of the texts for all; they are shuffled once at most
+    held = staged(sets(placed, REGION), "jaccard-sets")
+    together = leaf(held.filter(~is_large()), "r")
+    regions, turn = held.filter(is_large()), 0
     links: list[DataFrame] = []
-    turn = 0
-    if not large.isEmpty():
-        regions = staged(sets(active.join(large.select("region"), "region")), "jaccard-sets")
+    if not regions.isEmpty():
         while True:
             if stats is not None:
-                stats.setdefault("rounds", []).append(large.agg(F.count(F.lit(1)).alias("regions"), F.sum("docs").alias("docs"), F.max("docs").alias("largest")).first().asDict())
-            edges, windows, left = voronoi_round(regions, large, rule, turn)
+                stats.setdefault("rounds", []).append(regions.agg(F.count_distinct("region").alias("regions"), F.count(F.lit(1)).alias("docs"), F.max("docs").alias("largest")).first().asDict())
+            edges, windows, left = voronoi_round(regions, rule, turn)
             links.append(edges)
-            leaves += [windows] if windows is not None else []
-            sizes = staged(region_sizes(left), "jaccard-sizes")
-            large = sizes.filter(is_large())
-            leaves.append(leaf(left.join(sizes.filter(~is_large()).select("region"), "region"), f"t{turn}"))
-            if large.isEmpty():
+            if windows is not None:
+                together = together.unionByName(windows)
+            rest = staged(with_sizes(left), "jaccard-left")
+            together = together.unionByName(leaf(rest.filter(~is_large()), f"t{turn}"))
+            regions, turn = rest.filter(is_large()), turn + 1
+            if regions.isEmpty():
                 break
-            regions, turn = staged(left.join(large.select("region"), "region"), "jaccard-sets"), turn + 1
-    together = leaves[0]
-    for more in leaves[1:]:
-        together = together.unionByName(more)
     stars = staged(together.groupBy("leaf").applyInArrow(joined_leaf(rule), "node long, root long"), "jaccard-links")
     if not links:
         return stars
@@ -427,19 +441,26 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     spark = docs.sparkSession
     source = located(docs if {id_col, text_col} == {"doc_id", "text"} else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     source = source.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "__doc_file", "__doc_row")
-    seen = staged(source.mapInArrow(profiles(rule), PROFILE).withColumn("node", F.monotonically_increasing_id()), "jaccard-profiles")
-    place = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("node").alias("node"))).alias("first")
-    nodes = staged(seen.filter("n_shingles > 0").groupBy("ka", "kb", "n_shingles").agg(place), "jaccard-nodes")
+    begun = len(staging._named)
+    full = staged(source.mapInArrow(profiles(rule), PROFILE).withColumn("node", F.monotonically_increasing_id()), "jaccard-profiles")
+    seen = full.select("doc_id", "__doc_file", "__doc_row", "n_shingles", "ka", "kb", "node")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("node").alias("node"))).alias("first")
+    nodes = staged(seen.filter("n_shingles > 0").groupBy("ka", "kb", "n_shingles").agg(first), "jaccard-nodes")
     alike = ["ka", "kb", "n_shingles"]
     copies = staged(seen.filter("n_shingles > 0").select("node", *alike).join(nodes, alike).filter("node != first.node").select("node"), "jaccard-copies")
-    contents = staged(shared_contents(seen, copies), "jaccard-contents")
+    contents = staged(shared_contents(full, copies), "jaccard-contents")
+    # class contents are most of what has been written, and done with
+    seen = staged(seen, "jaccard-seen")
+    sweep(spark, begun, contents, seen, nodes)
     regions = connected_components(contents, "sig", "node")
     release(spark)
 
     scores = contents.groupBy("node").agg(F.max("score").alias("score"))
-    placed = regions.join(scores, "node").join(seen.select("node", F.col("n_shingles").alias("n"), "__doc_file", "__doc_row"), "node")
-    active = staged(placed.select(F.col("root").alias("region"), "node", "score", "n", "__doc_file", "__doc_row"), "jaccard-active")
-    roots = components_of_regions(active, source.select("text", "__doc_file", "__doc_row"), rule, stats)
+    # a file's name by its hash, so that few bytes go with a document's place
+    place = [F.xxhash64("__doc_file").alias("file"), F.col("__doc_row").alias("row")]
+    placed = regions.join(scores, "node").join(seen.select("node", F.col("n_shingles").alias("n"), *place), "node")
+    active = staged(placed.select(F.col("root").alias("region"), "node", "score", "n", "file", "row"), "jaccard-active")
+    roots = components_of_regions(active, source.select("text", *place), rule, stats)
 
     named = nodes.select(F.col("first.node").alias("node"), *alike, "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = staged(named.select(*alike, "root", "first"), "jaccard-named")
@@ -459,5 +480,8 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
 def kept_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The documents that stay, one of each component, with all their columns."""
     docs = from_files(docs)
+    begun = len(staging._named)
     dropped = staged(jaccard_components(docs, rule).filter("not kept").select("__doc_file", "__doc_row"), "jaccard-dropped")
+    sweep(docs.sparkSession, begun, dropped)
+    release(docs.sparkSession)
     return located(docs).join(dropped, ["__doc_file", "__doc_row"], "left_anti").select(*docs.columns)

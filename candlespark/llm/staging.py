@@ -31,9 +31,23 @@ def scratch(spark: SparkSession, name: str) -> str:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    _named.append(path)
     return path
 
 
+#: The paths that scratch has named, for sweep.
+_named: list[str] = []
+
+
+def sweep(spark: SparkSession, since: int, *kept: DataFrame) -> None:
+    """Delete the written tables named since ``_named`` was ``since`` long, but for what ``kept`` reads: nothing else reads them any more."""
+    held = {file.rpartition("/")[0].rpartition("/")[2] for frame in kept for file in frame.inputFiles()[:1]}  # a table's files are in one folder
+    for path in _named[since:]:
+        if path.rpartition("/")[2] not in held:
+            discard(spark, path)
+    _named[since:] = [path for path in _named[since:] if path.rpartition("/")[2] in held]
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that are done with.
 
