@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows that a task sorts at a time, about.
-ROWS_A_BUCKET = 20_000
+ROWS_A_BUCKET = 2_000
 
 
 def buckets_for(n_rows: int, rows: int = ROWS_A_BUCKET) -> int:
