@@ -30,7 +30,7 @@ def missing(candles: DataFrame, start_ms: int, end_ms: int, tf: str = BASE_TIMEF
 def runs(missing_: DataFrame, tf: str = BASE_TIMEFRAME) -> DataFrame:
     """(symbol, start, end, minutes): the longest unbroken half-open runs."""
     width = TIMEFRAMES[tf]
-    nth = F.row_number().over(Window.partitionBy("symbol").orderBy("time"))
+    nth = F.row_number().over(Window.partitionBy("symbol").orderBy("time")).cast("bigint")
     islands = missing_.withColumn("_island", F.col("time") - nth * F.lit(width))
     return islands.groupBy("symbol", "_island").agg(F.min("time").alias("start"), (F.max("time") + F.lit(width)).alias("end"), F.count(F.lit(1)).alias("n")).drop("_island")
 

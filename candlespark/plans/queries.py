@@ -265,7 +265,7 @@ def guarded_upsert(spark, sf_dir):
     return merge.guarded_upsert(table, _snapshots(spark, sf_dir)).select("symbol", "time", "trades", "closed")
 
 
-def _missing_sql(tf: str, start: int, end: int) -> str:
+def _missing_sql(tf: str, start: int, end: int | str) -> str:
     width = TIMEFRAMES[tf]
     return f"""{CANDLES_SQL}, there AS (SELECT symbol, time FROM candles WHERE tf = '{tf}' AND time >= {start} AND time < {end}),
   firsts AS (SELECT symbol, min(time) AS first FROM there GROUP BY symbol),
@@ -275,28 +275,35 @@ def _missing_sql(tf: str, start: int, end: int) -> str:
   runs AS (SELECT symbol, min(time) AS "start", max(time) + {width} AS "end", count(*) AS n FROM islands GROUP BY symbol, island)"""
 
 
-def _missing(spark, sf_dir, tf: str, start: int, end: int) -> DataFrame:
-    return gaps.missing(ohlcv.candles(trades(spark, sf_dir), [tf]), start, end, tf)
+def _whole_sql(tf: str) -> str:
+    """The missing buckets of the whole table, up to its last candle."""
+    return _missing_sql(tf, 0, f"(SELECT max(time) + {TIMEFRAMES[tf]} FROM candles WHERE tf = '{tf}')")
 
 
-@query(f"{_missing_sql('1m', MIDDLE, MIDDLE + 2 * DAY)} SELECT symbol, time FROM missing")
+def _missing(spark, sf_dir, tf: str) -> DataFrame:
+    candles = ohlcv.candles(trades(spark, sf_dir), [tf])
+    last = trades(spark, sf_dir).agg(F.max("ts_ms")).first()[0]  # one row
+    return gaps.missing(candles, 0, 0 if last is None else last + TIMEFRAMES[tf], tf)
+
+
+@query(f"{_whole_sql('1m')} SELECT symbol, time FROM missing")
 def missing_minutes(spark, sf_dir):
-    return _missing(spark, sf_dir, "1m", MIDDLE, MIDDLE + 2 * DAY)
+    return _missing(spark, sf_dir, "1m")
 
 
-@query(f"{_missing_sql('1h', MIDDLE - 10 * DAY, MIDDLE + 10 * DAY)} SELECT symbol, time FROM missing")
+@query(f"{_whole_sql('1h')} SELECT symbol, time FROM missing")
 def missing_hours(spark, sf_dir):
-    return _missing(spark, sf_dir, "1h", MIDDLE - 10 * DAY, MIDDLE + 10 * DAY)
+    return _missing(spark, sf_dir, "1h")
 
 
-@query(f'{_missing_sql("1m", MIDDLE, MIDDLE + 2 * DAY)} SELECT symbol, "start", "end", n FROM runs')
+@query(f'{_whole_sql("1m")} SELECT symbol, "start", "end", n FROM runs')
 def gap_runs(spark, sf_dir):
-    return gaps.runs(_missing(spark, sf_dir, "1m", MIDDLE, MIDDLE + 2 * DAY))
+    return gaps.runs(_missing(spark, sf_dir, "1m"))
 
 
-@query(f"{_missing_sql('1m', MIDDLE, MIDDLE + DAY)} SELECT symbol, count(*) AS missing, count(*) FILTER (WHERE time % 120000 = 0) AS repaired FROM missing GROUP BY symbol")
+@query(f"{_whole_sql('1m')} SELECT symbol, count(*) AS missing, count(*) FILTER (WHERE time % 120000 = 0) AS repaired FROM missing GROUP BY symbol")
 def gap_summary(spark, sf_dir):
-    lost = _missing(spark, sf_dir, "1m", MIDDLE, MIDDLE + DAY)
+    lost = _missing(spark, sf_dir, "1m")
     return gaps.coverage(lost, lost.filter(F.col("time") % 120_000 == 0))
 
 
