@@ -32,7 +32,8 @@ class Model:
         return np.column_stack([np.ones(len(z)), z, np.sqrt(2 / len(self.phases)) * np.cos(z @ self.waves + self.phases)])
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return np.concatenate([self.lift(x[i : i + 2048]) @ self.beta for i in range(0, len(x), 2048)] or [np.zeros(0)])
+        """Ridge scores, rounded so that equal statistics score alike wherever they stand in a batch."""
+        return np.round(np.concatenate([self.lift(x[i : i + 2048]) @ self.beta for i in range(0, len(x), 2048)] or [np.zeros(0)]), 9)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return np.clip(np.interp(self.raw(x), *self.steps), 0, 1)
@@ -41,14 +42,14 @@ class Model:
 def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: ascending raw scores and the calibrated value at each.
 
-    A block's value holds from its first to its last raw score; between blocks it
+    Equal raw scores are one block from the start, whatever their labels. A block's value holds from its first to its last raw score; between blocks it
     is interpolated. Blocks are drawn half a row towards the overall rate, so
     that a pure block is not certain.
     """
-    order = np.argsort(raw, kind="stable")
+    points, which = np.unique(raw, return_inverse=True)
     blocks: list[list[float]] = []  # first, last, sum, count
-    for r, v in zip(raw[order], y[order], strict=True):
-        blocks.append([r, r, v, 1.0])
+    for r, v, n in zip(points, np.bincount(which, weights=y), np.bincount(which), strict=True):
+        blocks.append([r, r, v, float(n)])
         while len(blocks) > 1 and blocks[-2][2] * blocks[-1][3] >= blocks[-1][2] * blocks[-2][3]:
             last = blocks.pop()
             blocks[-1] = [blocks[-1][0], last[1], blocks[-1][2] + last[2], blocks[-1][3] + last[3]]

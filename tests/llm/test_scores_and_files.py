@@ -103,6 +103,43 @@ def test_isotonic_rises():
     assert (np.diff(xs) >= 0).all() and (np.diff(ys) >= 0).all() and abs(np.interp(0.5, xs, ys) - 0.5) < 0.2
 
 
+@pytest.mark.parametrize("distinct", [3, 40, 10_000])
+def test_isotonic_equals_the_plain_formula(distinct):
+    """At each raw score, the greatest over left ends of the least mean up to any right end."""
+    rng = np.random.default_rng(distinct)
+    raw = rng.integers(0, distinct, 120) / distinct
+    y = (rng.random(120) < raw).astype(float)
+    points = sorted(set(raw))
+    mean = {p: max(min(y[(raw >= a) & (raw <= b)].mean() for b in points if b >= p) for a in points if a <= p) for p in points}
+    xs, ys = kernel_classifier.isotonic(raw, y)
+    for p in points:
+        same = np.isin(raw, [q for q in points if abs(mean[q] - mean[p]) < 1e-12])
+        assert abs(np.interp(p, xs, ys) - (y[same].sum() + 0.5 * y.mean()) / (same.sum() + 0.5)) < 1e-12
+
+
+def test_copies_with_both_labels_score_their_rate():
+    raw, y = np.repeat([0.2, 0.5, 0.9], [10, 40, 10]), np.concatenate([np.zeros(10), np.tile([0.0, 1.0], 20), np.ones(10)])
+    xs, ys = kernel_classifier.isotonic(raw, y)
+    assert abs(np.interp(0.5, xs, ys) - 0.5) < 1e-9
+
+
+def test_summed_equations_equal_a_direct_solve(spark):
+    rng = np.random.default_rng(3)
+    x = rng.random((900, len(docstats.FEATURES)))
+    y = (x[:, 0] + 0.3 * rng.random(900) > 0.6).astype(float)
+    rows = spark.createDataFrame([(i, list(map(float, a)), float(b)) for i, (a, b) in enumerate(zip(x, y, strict=True))], "doc_id long, features array<double>, label double").repartition(7)
+    model = kernel_classifier.fit(rows, waves=24, ridge=1e-2)
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.spread, x.std(axis=0))
+    folds = rows.selectExpr("doc_id", "pmod(xxhash64(doc_id, 'fold'), 5) AS fold").collect()
+    learnt = sorted(r.doc_id for r in folds if r.fold > 0)
+    z = model.lift(x[learnt])
+    penalty = np.diag([0.0] + [1e-2 * len(learnt)] * (z.shape[1] - 1)) + 1e-9 * np.eye(z.shape[1])
+    assert np.allclose(model.beta, np.linalg.solve(z.T @ z + penalty, z.T @ y[learnt]), atol=1e-8)
+    # ridge as least squares over the rows and one row for each penalty
+    direct, *_ = np.linalg.lstsq(np.vstack([z, np.sqrt(penalty)]), np.concatenate([y[learnt], np.zeros(z.shape[1])]), rcond=None)
+    assert np.allclose(model.beta, direct, atol=1e-6)
+
+
 @pytest.mark.parametrize("n_ids", [1, 2, 3, 50, 5000])
 def test_huffman_round_trip(n_ids):
     rng = np.random.default_rng(n_ids)
