@@ -35,7 +35,7 @@ from pyspark.sql.window import Window
 from candlespark.llm import staging
 from candlespark.llm import textkernel as K
 from candlespark.llm.components import connected_components
-from candlespark.llm.staging import from_files, located, release, staged, sweep
+from candlespark.llm.staging import PLACE, from_files, located, release, staged, sweep, whole
 
 #: A region that one task joins pair by pair: documents, and shingles in all.
 LEAF_DOCS, LEAF_SHINGLES = 64, 2_000_000
@@ -481,7 +481,7 @@ def kept_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The documents that stay, one of each component, with all their columns."""
     docs = from_files(docs)
     begun = len(staging._named)
-    dropped = staged(jaccard_components(docs, rule).filter("not kept").select("__doc_file", "__doc_row"), "jaccard-dropped")
+    dropped = staged(jaccard_components(docs, rule).filter("not kept").select(*PLACE), "jaccard-dropped")
     sweep(docs.sparkSession, begun, dropped)
     release(docs.sparkSession)
-    return located(docs).join(dropped, ["__doc_file", "__doc_row"], "left_anti").select(*docs.columns)
+    return whole(docs).join(dropped, PLACE, "left_anti").select("doc.*")

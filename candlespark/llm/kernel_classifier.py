@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlespark.llm.docstats import FEATURES, bounded, document_statistics, labelled, matrix
-from candlespark.llm.staging import from_files, located, staged
+from candlespark.llm.staging import PLACE, from_files, located, staged, whole
 
 #: Tasks that sum the normal equations, and those that add up their sums.
 SUM_TASKS, ADD_TASKS = 32, 4
@@ -152,9 +152,9 @@ def accepted_documents(docs: DataFrame, labels: DataFrame, *, train_rows: int =
     Learns and scores as quality_scores does; what is rejected is told by its
     place in the files, so that identifiers may be null or repeated.
     """
-    docs, place = from_files(docs), ["__doc_file", "__doc_row"]
-    stats = staged(document_statistics(located(docs), keep=place).select("doc_id", "features", *place), "classifier-statistics")
+    docs = from_files(docs)
+    stats = staged(document_statistics(located(docs), keep=PLACE).select("doc_id", "features", *PLACE), "classifier-statistics")
     model = fit(bounded(labelled(stats.filter(~held_out(F.col("doc_id"))), labels), train_rows), waves)
-    scores = stats.mapInArrow(scored(model, place), "__doc_file string, __doc_row long, score double")
-    rejected = staged(scores.filter("score < 0.5").select(*place), "classifier-rejected")
-    return located(docs).join(rejected, place, "left_anti").select(*docs.columns)
+    scores = stats.mapInArrow(scored(model, PLACE), "__doc_file string, __doc_row long, score double")
+    rejected = staged(scores.filter("score < 0.5").select(*PLACE), "classifier-rejected")
+    return whole(docs).join(rejected, PLACE, "left_anti").select("doc.*")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlespark.llm.running import buckets_for, hex_bucket, with_running_total
-from candlespark.llm.staging import from_files, located, staged
+from candlespark.llm.staging import PLACE, from_files, located, staged, whole
 
 #: Ranges of virtual finish time: so many to one unit, the last open-ended.
 RANGES, LAST_RANGE = 4096, 4096 * 16
@@ -126,9 +126,9 @@ def mix_order(docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as many times as it is taken, with all its columns."""
     docs = from_files(docs)
-    chosen = mix_sources(docs, **options).filter("copies > 0").select("__doc_file", "__doc_row", F.col("copies").alias("_copies"))
-    repeated = located(docs).join(staged(chosen, "mix-chosen"), ["__doc_file", "__doc_row"])
-    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*docs.columns)
+    chosen = staged(mix_sources(docs, **options).filter("copies > 0").select(*PLACE, "copies"), "mix-chosen")
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    return whole(docs).join(chosen, PLACE).select("doc", copies).select("doc.*")
 
 
 ORACLE_SQL = r"""

@@ -10,9 +10,12 @@ import gc
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LOCAL_FOLDER = "/tmp/checkpoints"
+#: What names a row's place in the files that it is read from.
+PLACE = ["__doc_file", "__doc_row"]
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -81,20 +84,29 @@ def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _with_place(df: DataFrame) -> DataFrame:
+def _place(df: DataFrame) -> list[Column]:
     meta = df.metadataColumn("_metadata")
-    return df.select("*", meta["file_path"].alias("__doc_file"), meta["row_index"].alias("__doc_row"))
+    return [meta["file_path"].alias(PLACE[0]), meta["row_index"].alias(PLACE[1])]
 
 
 def from_files(df: DataFrame) -> DataFrame:
     """df itself if it is a plain read of Parquet files, else written to such files and read again."""
     try:
-        _with_place(df).schema  # noqa: B018  resolves the columns
+        df.select(*_place(df)).schema  # noqa: B018  resolves the columns
     except AnalysisException:
         return staged(df, "documents")
     return df
 
 
 def located(df: DataFrame) -> DataFrame:
-    """df, read from files, with ``__doc_file`` and ``__doc_row``, which name a row's place in them."""
-    return _with_place(from_files(df))
+    """df, read from files, with PLACE, which names a row's place in them; columns of df's own by these names are left out."""
+    plain = from_files(df)
+    if {c.lower() for c in plain.columns} & set(PLACE):
+        plain = plain.drop(*PLACE)
+    return plain.select("*", *_place(plain))
+
+
+def whole(df: DataFrame) -> DataFrame:
+    """(doc, PLACE) of df, read from files: each row as one struct, so that no column of its own clashes."""
+    plain = from_files(df)
+    return plain.select(F.struct("*").alias("doc"), *_place(plain))

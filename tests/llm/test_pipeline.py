@@ -10,11 +10,16 @@ from candlespark.llm import kernel_classifier
 from tests.llm import cases
 
 
+#: Names that stages give to columns of their own.
+CLASHING = ["__doc_file", "__doc_row", "doc", "_copies", "_copy", "score", "predicted", "taken", "copies", "place", "component_id", "held_out", "label"]
+
+
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     at = tmp_path_factory.mktemp("tables")
     rows = cases.corpus(seed=4)
-    spark.createDataFrame(rows, cases.DOCS).select("doc_id", "text", "lang", "source", "n_chars").coalesce(1).write.parquet(f"{at}/documents.parquet")
+    docs = spark.createDataFrame(rows, cases.DOCS)
+    docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASHING)]).coalesce(1).write.parquet(f"{at}/documents.parquet")
     marked = [(r[0], int("###" not in (r[1] or "") and "$$$" not in (r[1] or ""))) for r in rows if r[0] is not None]
     spark.createDataFrame(marked, "doc_id long, quality int").coalesce(1).write.parquet(f"{at}/labels.parquet")
     return str(at)
@@ -53,3 +58,22 @@ def test_stages_take_effect(spark, folder):
 
 def test_run_is_its_stages(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() == spark.read.parquet(f"{folder}/packing").count()
+
+
+def test_every_stage_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], cases.DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() == 0, name
+        assert name == "packing" or out.columns == docs.columns
+
+
+def test_rows_of_nulls_alone_pass_every_stage(spark, tmp_path):
+    nulls = spark.range(6).selectExpr("CAST(NULL AS LONG) AS doc_id", "CAST(NULL AS STRING) AS text", "CAST(NULL AS STRING) AS lang", "CAST(NULL AS STRING) AS source", "CAST(NULL AS LONG) AS n_chars")
+    nulls.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, None), (None, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    left = {name: stage(spark, docs, str(tmp_path)).count() for name, stage in corpus_pipeline.STAGES}
+    assert left == {"quality classifier": 6, "exact dedup": 1, "n-gram Jaccard join": 6, "mixing sources": 0, "packing": 6}
