@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlespark.llm.staging import PLACE, discard, from_files, located, names, scratch, staged, whole
+from candlespark.llm.staging import PLACE, at_places, discard, from_files, located, names, scratch, staged
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -171,4 +171,4 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The documents that stay, with all their columns; nulls, ties, repeated rows and empty tables as in exact_dedup."""
     docs = from_files(docs)
     dropped = staged(exact_dedup(docs, id_col, text_col).filter("not kept").select(*PLACE), "dedup-dropped")
-    return whole(docs).join(dropped, PLACE, "left_anti").select("doc.*")
+    return at_places(docs, dropped, "left_anti").select(*docs.columns)

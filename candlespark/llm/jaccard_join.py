@@ -35,7 +35,7 @@ from pyspark.sql.window import Window
 from candlespark.llm import staging
 from candlespark.llm import textkernel as K
 from candlespark.llm.components import connected_components
-from candlespark.llm.staging import PLACE, from_files, located, release, staged, sweep, whole
+from candlespark.llm.staging import PLACE, at_places, from_files, located, release, staged, sweep
 
 #: A region that one task joins pair by pair: documents, and shingles in all.
 LEAF_DOCS, LEAF_SHINGLES = 64, 2_000_000
@@ -484,4 +484,4 @@ def kept_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     dropped = staged(jaccard_components(docs, rule).filter("not kept").select(*PLACE), "jaccard-dropped")
     sweep(docs.sparkSession, begun, dropped)
     release(docs.sparkSession)
-    return whole(docs).join(dropped, PLACE, "left_anti").select("doc.*")
+    return at_places(docs, dropped, "left_anti").select(*docs.columns)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlespark.llm.docstats import FEATURES, bounded, document_statistics, labelled, matrix
-from candlespark.llm.staging import PLACE, from_files, located, staged, whole
+from candlespark.llm.staging import PLACE, at_places, from_files, located, staged
 
 #: Tasks that sum the normal equations, and those that add up their sums.
 SUM_TASKS, ADD_TASKS = 32, 4
@@ -157,4 +157,4 @@ def accepted_documents(docs: DataFrame, labels: DataFrame, *, train_rows: int =
     model = fit(bounded(labelled(stats.filter(~held_out(F.col("doc_id"))), labels), train_rows), waves)
     scores = stats.mapInArrow(scored(model, PLACE), "__doc_file string, __doc_row long, score double")
     rejected = staged(scores.filter("score < 0.5").select(*PLACE), "classifier-rejected")
-    return whole(docs).join(rejected, PLACE, "left_anti").select("doc.*")
+    return at_places(docs, rejected, "left_anti").select(*docs.columns)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlespark.llm.running import buckets_for, hex_bucket, with_running_total
-from candlespark.llm.staging import PLACE, from_files, located, staged, whole
+from candlespark.llm.staging import PLACE, at_places, free, from_files, located, staged
 
 #: Ranges of virtual finish time: so many to one unit, the last open-ended.
 RANGES, LAST_RANGE = 4096, 4096 * 16
@@ -127,8 +127,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as many times as it is taken, with all its columns."""
     docs = from_files(docs)
     chosen = staged(mix_sources(docs, **options).filter("copies > 0").select(*PLACE, "copies"), "mix-chosen")
-    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
-    return whole(docs).join(chosen, PLACE).select("doc", copies).select("doc.*")
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(free(docs, "copies"))))
+    return at_places(docs, chosen, "inner").select(*docs.columns, copies.alias(free(docs, "copy"))).select(*docs.columns)
 
 
 ORACLE_SQL = r"""

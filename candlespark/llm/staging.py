@@ -11,7 +11,6 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 LOCAL_FOLDER = "/tmp/checkpoints"
 #: What names a row's place in the files that it is read from.
@@ -106,7 +105,17 @@ def located(df: DataFrame) -> DataFrame:
     return plain.select("*", *_place(plain))
 
 
-def whole(df: DataFrame) -> DataFrame:
-    """(doc, PLACE) of df, read from files: each row as one struct, so that no column of its own clashes."""
+def free(df: DataFrame, name: str) -> str:
+    """name, after as many underscores as it takes not to be a column of df."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def at_places(df: DataFrame, places: DataFrame, how: str) -> DataFrame:
+    """df, read from files, joined by place with ``places``, whose columns get names that are free in df."""
     plain = from_files(df)
-    return plain.select(F.struct("*").alias("doc"), *_place(plain))
+    renamed = {c: free(plain, c) for c in places.columns}
+    there = plain.select("*", *[c.alias(renamed[p]) for c, p in zip(_place(plain), PLACE, strict=True)])
+    return there.join(places.withColumnsRenamed(renamed), [renamed[p] for p in PLACE], how)
