@@ -35,7 +35,7 @@ from pyspark.sql.window import Window
 from candlespark.llm import staging
 from candlespark.llm import textkernel as K
 from candlespark.llm.components import connected_components
-from candlespark.llm.staging import PLACE, at_places, from_files, located, release, staged, sweep
+from candlespark.llm.staging import PLACE, TEXT_BATCH_BYTES, at_places, from_files, located, release, staged, sweep
 
 #: A region that one task joins pair by pair: documents, and shingles in all.
 LEAF_DOCS, LEAF_SHINGLES = 64, 2_000_000
@@ -376,7 +376,7 @@ def components_of_regions(active: DataFrame, texts: DataFrame, rule: Rule, stats
         return rows.select(F.concat_ws(":", F.lit(name), "region").alias("leaf"), "node", F.lit(0).alias("side"), "shingles")
 
     # one reading of the texts for all; they are shuffled once at most
-    held = staged(sets(placed, REGION), "jaccard-sets")
+    held = staged(sets(placed, REGION), "jaccard-sets", batch_bytes=TEXT_BATCH_BYTES)
     together = leaf(held.filter(~is_large()), "r")
     regions, turn = held.filter(is_large()), 0
     links: list[DataFrame] = []
@@ -442,7 +442,7 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     source = located(docs if {id_col, text_col} == {"doc_id", "text"} else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     source = source.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "__doc_file", "__doc_row")
     begun = len(staging._named)
-    full = staged(source.mapInArrow(profiles(rule), PROFILE).withColumn("node", F.monotonically_increasing_id()), "jaccard-profiles")
+    full = staged(source.mapInArrow(profiles(rule), PROFILE).withColumn("node", F.monotonically_increasing_id()), "jaccard-profiles", batch_bytes=TEXT_BATCH_BYTES)
     seen = full.select("doc_id", "__doc_file", "__doc_row", "n_shingles", "ka", "kb", "node")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("node").alias("node"))).alias("first")
     nodes = staged(seen.filter("n_shingles > 0").groupBy("ka", "kb", "n_shingles").agg(first), "jaccard-nodes")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlespark.llm.docstats import FEATURES, bounded, document_statistics, labelled, matrix
-from candlespark.llm.staging import PLACE, at_places, from_files, located, staged
+from candlespark.llm.staging import PLACE, TEXT_BATCH_BYTES, at_places, from_files, located, staged
 
 #: Tasks that sum the normal equations, and those that add up their sums.
 SUM_TASKS, ADD_TASKS = 32, 4
@@ -140,7 +140,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, train_rows: int = 200_
     several labels of one id are averaged, null ones ignored. Without labels of
     both kinds every score is 0.5. Other columns are ignored.
     """
-    stats = staged(document_statistics(docs, id_col, text_col).select("doc_id", "features", held_out(F.col("doc_id")).alias("held_out")), "classifier-statistics")
+    stats = staged(document_statistics(docs, id_col, text_col).select("doc_id", "features", held_out(F.col("doc_id")).alias("held_out")), "classifier-statistics", batch_bytes=TEXT_BATCH_BYTES)
     model = fit(bounded(labelled(stats.filter("not held_out"), labels), train_rows), waves)
     found = stats.mapInArrow(scored(model, ["doc_id", "held_out"]), "doc_id long, held_out boolean, score double")
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
@@ -153,7 +153,7 @@ def accepted_documents(docs: DataFrame, labels: DataFrame, *, train_rows: int =
     place in the files, so that identifiers may be null or repeated.
     """
     docs = from_files(docs)
-    stats = staged(document_statistics(located(docs), keep=PLACE).select("doc_id", "features", *PLACE), "classifier-statistics")
+    stats = staged(document_statistics(located(docs), keep=PLACE).select("doc_id", "features", *PLACE), "classifier-statistics", batch_bytes=TEXT_BATCH_BYTES)
     model = fit(bounded(labelled(stats.filter(~held_out(F.col("doc_id"))), labels), train_rows), waves)
     scores = stats.mapInArrow(scored(model, PLACE), "__doc_file string, __doc_row long, score double")
     rejected = staged(scores.filter("score < 0.5").select(*PLACE), "classifier-rejected")

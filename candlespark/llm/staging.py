@@ -13,6 +13,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
 LOCAL_FOLDER = "/tmp/checkpoints"
+ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of text that Spark hands to a Python worker at once; both sides hold a whole batch.
+TEXT_BATCH_BYTES = 4 << 20
 #: What names a row's place in the files that it is read from.
 PLACE = ["__doc_file", "__doc_row"]
 
@@ -74,12 +77,24 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [name for _, name in sorted((s.getModificationTime(), s.getPath().getName()) for s in found)]
 
 
-def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it from there."""
+def staged(df: DataFrame, name: str, codec: str | None = None, batch_bytes: int | None = None) -> DataFrame:
+    """Write df as Parquet to the shared folder and read it from there.
+
+    With ``batch_bytes`` its Arrow batches have about so many bytes, or one row,
+    whatever the session sets; the session's own setting holds again afterwards.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
     writer = df.write.option("compression", codec) if codec else df.write
-    writer.parquet(path)
+    if batch_bytes is None:
+        writer.parquet(path)
+    else:
+        before = spark.conf.get(ARROW_BATCH)
+        spark.conf.set(ARROW_BATCH, str(batch_bytes))
+        try:
+            writer.parquet(path)
+        finally:
+            spark.conf.set(ARROW_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,7 +1,7 @@
 """Vectorised word, line and shingle hashing over Arrow string columns.
 
-Whole texts are hashed on their UTF-8 bytes with numpy, some megabytes at a
-time, so that no Python object exists per word. A word is a run of bytes outside
+Whole texts are hashed on their UTF-8 bytes with numpy, a megabyte at a time,
+so that no Python object exists per word and a worker stays small. A word is a run of bytes outside
 ``[\\x20\\x09-\\x0D]``; these are ASCII, so byte and character views agree.
 
 The hash of a span is a polynomial over its bytes modulo 2**64, taken from
@@ -17,7 +17,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 3 << 20
+#: A slice takes some tens of times its bytes: about twenty arrays of a number for each byte or word.
+SLICE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)

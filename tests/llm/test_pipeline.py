@@ -2,11 +2,13 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from candlespark.llm import kernel_classifier
+from candlespark.llm import kernel_classifier, staging
 from tests.llm import cases
 
 
@@ -77,3 +79,24 @@ def test_rows_of_nulls_alone_pass_every_stage(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     left = {name: stage(spark, docs, str(tmp_path)).count() for name, stage in corpus_pipeline.STAGES}
     assert left == {"quality classifier": 6, "exact dedup": 1, "n-gram Jaccard join": 6, "mixing sources": 0, "packing": 6}
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_staged_bounds_the_bytes_of_a_batch(spark, fails):
+    """Long rows come in small batches, one beyond the bound alone; the session's setting stays its own."""
+    before = spark.conf.get(staging.ARROW_BATCH)
+
+    def sizes(batches):
+        for batch in batches:
+            if fails:
+                raise ValueError("on purpose")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    texts = spark.range(0, 300, numPartitions=1).selectExpr("repeat('x', if(id = 150, 100000, 1000)) text")
+    if fails:
+        with pytest.raises(PySparkException):
+            staging.staged(texts.mapInArrow(sizes, "n long"), "test-batches", batch_bytes=10_000)
+    else:
+        found = [r.n for r in staging.staged(texts.mapInArrow(sizes, "n long"), "test-batches", batch_bytes=10_000).collect()]
+        assert sum(found) == 300 and max(found) <= 11
+    assert spark.conf.get(staging.ARROW_BATCH) == before
