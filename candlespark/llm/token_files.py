@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from array import array
@@ -12,6 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,12 +26,16 @@ REMEMBERED = 900_000
 #: Bytes of coded ids in a file, about.
 FILE_BYTES = 64 << 20
 
-TOKENS = "doc_id long, n_tokens long, ids binary"
+#: Bytes of text whose pieces are looked up at a time, and of the Arrow batches that bring them (and a row more).
+TEXT_BYTES = 8 << 20
+BATCH_BYTES = TEXT_BYTES * 7 // 8
+#: Characters of the longest piece that is remembered.
+LONGEST = 64
+
+TOKENS = "doc_id long, n_tokens long, ids binary, counts binary"
 MANIFEST = "part int, path string, n_tokens long, n_docs long"
 READ = "path string, doc_id long, at long, n_tokens long, ids_crc32 long"
 
-# where a piece between single spaces doesn't stand for itself: a longer run of white space
-_LONG_RUN = re.compile(r"\s (?:\s|\Z)")
 #: Marks that, behind letters, are one piece of their own however many they are.
 _MARKS = ".,;:!?#$%&*|"
 
@@ -41,34 +45,57 @@ def id_type(largest: int) -> str:
     return "<u2" if largest < 1 << 16 else "<u4"
 
 
-class Pieces(dict):
+class Pieces:
     """Ids of pieces of text by piece, each with ``before`` in front; what is missing is encoded.
 
     Letters and the marks behind them are single pieces to the tokenizer's
     splitting, so they go straight to its model; everything else goes through
-    the tokenizer.
+    the tokenizer. What was asked for lately is remembered in two halves: a full
+    one takes the place of the older, so frequent pieces stay.
     """
 
     def __init__(self, encoder: Encoder, before: str) -> None:
-        super().__init__()
         self.encoder, self.before = encoder, before
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def __getitem__(self, piece: str) -> bytes:
+        ids = self.recent.get(piece)
+        if ids is None:
+            ids = self.older.get(piece)
+            if ids is None:
+                ids = self.made(piece)
+            if len(piece) <= LONGEST:
+                if len(self.recent) >= REMEMBERED // 2:
+                    self.older, self.recent = self.recent, {}
+                self.recent[piece] = ids
+        return ids
+
+    def all(self, pieces: list[str]) -> list[bytes]:
+        """The ids of many pieces."""
+        found = list(map(self.recent.get, pieces))
+        encoder, code, tokenize = self.encoder, self.encoder.code, self.encoder.tokenize
+        before = encoder.shown[32] if self.before else ""
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            piece = pieces[i]
+            # most of what is missing are letters: as __getitem__ does, without its calls
+            if piece.isascii() and piece.isalpha() and len(piece) <= LONGEST and len(self.recent) < REMEMBERED // 2:
+                ids = self.older.get(piece)
+                if ids is None:
+                    ids = array(code, [t.id for t in tokenize(before + piece)]).tobytes()
+                found[i] = self.recent[piece] = ids
+            else:
+                found[i] = self[piece]
+        return found
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
+    def made(self, piece: str) -> bytes:
         encoder, before = self.encoder, self.before
+        if piece.isalpha():
+            return encoder.letters(before, piece)
         word = piece.rstrip(_MARKS)
         if word.isalpha():
-            ids = encoder.model(before + word)
-            if len(word) < len(piece):
-                ids += encoder.marks(piece[len(word) :])
-        elif "\n" in piece and all(lines := piece.split("\n")) and not any(c.isspace() for line in lines for c in line):
-            first, *more = lines
-            ids = self[first] + b"".join([encoder.newline + encoder.bare[line] for line in more])
-        else:
-            ids = encoder.whole([before + piece])[0]
-        self[piece] = ids
-        return ids
+            return self[word] + encoder.marks(piece[len(word) :])
+        return encoder.whole([before + piece])[0]
 
 
 class Encoder:
@@ -100,7 +127,14 @@ class Encoder:
 
     def model(self, piece: str) -> bytes:
         """Ids of one piece, by the tokenizer's model alone."""
-        return array(self.code, [t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(self.shown))]).tobytes()
+        return self.modelled(piece.encode().decode("latin-1").translate(self.shown))
+
+    def modelled(self, shown: str) -> bytes:
+        return array(self.code, [t.id for t in self.tokenize(shown)]).tobytes()
+
+    def letters(self, before: str, word: str) -> bytes:
+        """model of before and letters; those of ASCII are written as they are."""
+        return self.modelled((self.shown[32] if before else "") + word) if word.isascii() else self.model(before + word)
 
     def marks(self, piece: str) -> bytes:
         if piece not in self.mark_ids:
@@ -114,17 +148,113 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text with the end id, as little-endian numbers."""
-        out = []
-        for text in texts:
-            if not self.by_piece or _LONG_RUN.search(text) or any(s in text for s in self.special):
-                ids = self.whole([text])[0]
-            else:
-                first, *more = text.split(" ")
-                ids = (self.bare[first] if first else b"") + b"".join(map(self.spaced.__getitem__, more))
-            out.append(ids + self.end)
+        return self.blobs(pa.array(texts, type=pa.string())).to_pylist()
+
+    def blobs(self, texts: pa.Array) -> pa.Array:
+        """encode of an Arrow array without nulls; each distinct piece is looked up once.
+
+        A line break between other than white space is cut out too.
+        """
+        if not len(texts) or not self.by_piece:
+            return self.wholes(texts)
+        whole = np.zeros(len(texts), dtype=bool)
+        for special in self.special:
+            whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        if whole.any():
+            return _merged([self.blobs(texts.filter(pa.array(~whole))), self.wholes(texts.filter(pa.array(whole)))], whole)
+        lines = pc.split_pattern(texts, "\n")
+        n_lines = pc.list_value_length(lines).to_numpy()
+        of = np.repeat(np.arange(len(texts)), n_lines)  # each line's text
+        lines = lines.flatten()
+        size = pc.binary_length(lines).to_numpy()
+        rough = (size == 0) | (pc.binary_length(pc.utf8_trim_whitespace(lines)).to_numpy() != size)
+        uncut = np.zeros(len(texts), dtype=bool)
+        uncut[of[rough]] = True
+        uncut &= n_lines > 1
+        if uncut.any():
+            found = [self.pieced(texts.filter(pa.array(uncut)), np.ones(int(uncut.sum()), dtype=np.int64)), self.pieced(lines.filter(pa.array(~uncut[of])), n_lines[~uncut])]
+            return _merged(found, ~uncut)
+        return self.pieced(lines, n_lines)
+
+    def pieced(self, lines: pa.Array, n_lines: np.ndarray) -> pa.Array:
+        """The ids of texts of so many lines each, with the end id."""
+        if not len(lines):
+            return pa.array([], type=pa.large_binary())
+        split = pc.split_pattern(lines, " ")
+        starts = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+        coded = split.flatten().dictionary_encode()
+        at, pieces = coded.indices.to_numpy(), coded.dictionary
+        firsts = starts[:-1]
+        later = np.ones(len(at), dtype=bool)
+        later[firsts] = False
+        whole = self.not_by_piece(pieces, at, starts, later)
+        last = np.cumsum(n_lines)  # behind each text's last line
+        if whole.any():
+            whole = np.add.reduceat(whole, last - n_lines) > 0
+            of = np.repeat(whole, n_lines)
+            texts = ["\n".join(_strings(lines.slice(last[i] - n_lines[i], n_lines[i]))) for i in np.flatnonzero(whole)]
+            return _merged([self.pieced(lines.filter(pa.array(~of)), n_lines[~whole]), self.wholes(pa.array(texts, type=lines.type))], whole)
+        spaced, place = self.looked_up(self.spaced, pieces, at[later])
+        bare, first_place = self.looked_up(self.bare, pieces, at[firsts])
+        values = pa.concat_arrays([spaced, bare, pa.array([self.newline, self.end], type=pa.large_binary())])
+        ends = starts[1:] + np.arange(len(lines))  # where what closes each line goes
+        closing = np.full(len(lines), len(values) - 2, dtype=np.int32)
+        closing[last - 1] += 1
+        begun = np.empty(len(at), dtype=np.int32)
+        begun[later], begun[firsts] = place, first_place + len(spaced)
+        order, kept = np.empty(len(at) + len(lines), dtype=np.int32), np.ones(len(at) + len(lines), dtype=bool)
+        kept[ends] = False
+        order[kept], order[ends] = begun, closing
+        _, offsets, data = values.take(pa.array(order)).buffers()
+        bounds = np.frombuffer(offsets, dtype=np.int64)[np.concatenate([[0], ends[last - 1] + 1])]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n_lines), [None, pa.py_buffer(bounds), data])
+
+    def looked_up(self, known: Pieces, pieces: pa.Array, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """(the ids of the distinct pieces that ``at`` names, its places in them); letters are looked up without the marks behind them."""
+        used = np.zeros(len(pieces), dtype=bool)
+        used[at] = True
+        names = pieces.filter(pa.array(used))
+        words = pc.utf8_rtrim(names, characters=_MARKS)
+        n_marks = (pc.binary_length(names).to_numpy() - pc.binary_length(words).to_numpy()) * pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)
+        foreign = np.flatnonzero((n_marks > 0) & ~pc.string_is_ascii(words).to_numpy(zero_copy_only=False))
+        n_marks[foreign] *= np.array([word.isalpha() for word in _strings(words.take(pa.array(foreign)))], dtype=n_marks.dtype)
+        whole = pc.if_else(pa.array(n_marks > 0), words, names).dictionary_encode()
+        ids = pa.array(known.all(_strings(whole.dictionary)), type=pa.large_binary()).take(whole.indices)
+        # the marks, each of one byte, from the ends of the names
+        bounds = np.concatenate([[0], np.cumsum(n_marks)]).astype(np.int32)
+        name_ends = np.cumsum(pc.binary_length(names).to_numpy().astype(np.int64))
+        _, _, data = pc.cast(names, pa.string()).buffers()
+        found = np.frombuffer(data or b"", dtype=np.uint8)[np.arange(bounds[-1]) + np.repeat(name_ends - bounds[1:], n_marks)]
+        marks = pa.StringArray.from_buffers(len(names), pa.py_buffer(bounds), pa.py_buffer(found)).dictionary_encode()
+        behind = pa.array([self.marks(m) if m else b"" for m in _strings(marks.dictionary)], type=pa.large_binary()).take(marks.indices)
+        return pc.binary_join_element_wise(ids, behind, pa.scalar(b"", pa.large_binary())), (np.cumsum(used, dtype=np.int32) - 1)[at]
+
+    def wholes(self, texts: pa.Array) -> pa.Array:
+        return pa.array([ids + self.end for text in texts.to_pylist() for ids in self.whole([text])], type=pa.large_binary())
+
+    def not_by_piece(self, pieces: pa.Array, at: np.ndarray, starts: np.ndarray, later: np.ndarray) -> np.ndarray:
+        """Which lines have a space with white space on both sides, or the end behind it."""
+        out = np.zeros(len(starts) - 1, dtype=bool)
+        size = pc.binary_length(pieces).to_numpy()
+        odd = np.flatnonzero((size == 0) | (pc.binary_length(pc.utf8_trim_whitespace(pieces)).to_numpy() != size))
+        if len(odd):
+            begins, ends = np.zeros(len(pieces), dtype=bool), np.zeros(len(pieces), dtype=bool)
+            for code, piece in zip(odd, _strings(pieces.take(pa.array(odd))), strict=True):
+                begins[code], ends[code] = not piece or piece[0].isspace(), not piece or piece[-1].isspace()
+            across = np.flatnonzero(later[1:] & begins[at[1:]] & ends[at[:-1]]) + 1
+            out[np.searchsorted(starts, across, side="right") - 1] = True
         return out
 
 
+def _merged(parts: list[pa.Array], second: np.ndarray) -> pa.Array:
+    """The rows of two arrays, each in order, as ``second`` says which is whose."""
+    return pa.concat_arrays(parts).take(pa.array(np.argsort(np.argsort(second, kind="stable"), kind="stable")))
+
+
+def _strings(pieces: pa.Array) -> list[str]:
+    return pieces.to_numpy(zero_copy_only=False).tolist()
+
+
 @lru_cache(maxsize=1)
 def encoder_of(path: str, end_id: int) -> Encoder:
     """The worker's encoder, which keeps what it remembers from task to task."""
@@ -133,37 +263,52 @@ def encoder_of(path: str, end_id: int) -> Encoder:
 
 
 def tokenised(path: str, end_id: int):
-    """Arrow batches of (doc_id, text) to TOKENS."""
+    """Arrow batches of (doc_id, text) to TOKENS: a row for each document, then one with how often the partition has each id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, end_id)
         width = np.dtype(encoder.dtype).itemsize
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(x) // width for x in ids], type=pa.int64()), pa.array(ids, type=pa.binary())], names=["doc_id", "n_tokens", "ids"])
-
-    return run
-
-
-def counted(dtype: str):
-    """Arrow batches of ids to (id, n), summed over the partition."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = np.bincount(np.frombuffer(b"".join(batch.column("ids").slice(lo, 256).to_pylist()), dtype=dtype))
+            texts = pc.fill_null(batch.column("text"), "")
+            ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + TEXT_BYTES, side="right")))
+                ids = encoder.blobs(texts.slice(lo, hi - lo))
+                sizes = pc.binary_length(ids).to_numpy().astype(np.int64) // width
+                part = np.bincount(_numbers(ids, encoder.dtype))
                 if len(part) > len(total):
                     part, total = total, part
                 total[: len(part)] += part
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int64)), pa.array(total[seen])], names=["id", "n"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(sizes), ids.cast(pa.binary()), pa.nulls(hi - lo, pa.binary())], names=["doc_id", "n_tokens", "ids", "counts"])
+                lo = hi
+        if len(total):
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], type=pa.binary())], names=["doc_id", "n_tokens", "ids", "counts"])
 
     return run
 
 
+def _numbers(blobs: pa.Array, dtype: str) -> np.ndarray:
+    """The ids of all blobs, one after the other."""
+    _, offsets, data = blobs.buffers()
+    bounds = np.frombuffer(offsets, dtype=np.int64)[blobs.offset :]
+    return np.frombuffer(data or b"", dtype=np.uint8)[bounds[0] : bounds[len(blobs)]].view(dtype)
+
+
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of counts by id to (id, n), summed over the partition."""
+    total = np.zeros(0, dtype=np.int64)
+    for batch in batches:
+        for blob in batch.column("counts"):
+            part = np.frombuffer(blob.as_buffer(), dtype=np.int64)
+            if len(part) > len(total):
+                part, total = total, part.copy()
+            total[: len(part)] += part
+    seen = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int64)), pa.array(total[seen])], names=["id", "n"])
+
+
 def open_shared(path: str):
     """(file system, path in it) of a URI under the shared folder."""
     from pyarrow import fs
@@ -240,14 +385,14 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 2, folder:
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     dtype = Encoder(tokenizer, end_id).dtype
-    tokens = staged(rows.mapInArrow(tokenised(tokenizer, end_id), TOKENS), "tokens-ids", "zstd")
-    counts = tokens.select("ids").mapInArrow(counted(dtype), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    tokens = staged(rows.mapInArrow(tokenised(tokenizer, end_id), TOKENS), "tokens-ids", "zstd", BATCH_BYTES)
+    counts = tokens.select("counts").filter("counts is not null").mapInArrow(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(int(max(counts.column("id").to_numpy(), default=0)) + 1, dtype=np.int64)
     total[counts.column("id").to_numpy()] = counts.column("n").to_numpy()
     lengths = huffman.code_lengths(total)
     parts = max(1, int(lengths @ total) // 8 // FILE_BYTES + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = ["doc_id", "key"]
-    ranged = tokens.withColumn("key", F.xxhash64("ids")).repartitionByRange(parts, *order).sortWithinPartitions(*order, "ids")
+    ranged = tokens.filter("counts is null").select("doc_id", "ids").withColumn("key", F.xxhash64("ids")).repartitionByRange(parts, *order).sortWithinPartitions(*order, "ids")
     out = folder or scratch(spark, "token-files")
     files = staged(ranged.select("doc_id", "ids").mapInArrow(written(lengths, out, dtype), MANIFEST), "tokens-manifest").filter("n_docs > 0")
     before = Window.partitionBy().orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
